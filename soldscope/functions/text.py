@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterable, Mapping
@@ -23,6 +24,11 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def filled(text: Column) -> Column:
+    """Text, NULL when empty; ``nullif`` would write a long expression twice."""
+    return let(text, lambda t: F.when(t != "", t))
+
+
 def first(items: Column) -> Column:
     """First element, NULL when there is none."""
     return F.get(items, 0)
@@ -35,7 +41,7 @@ def strip(text: Column | str) -> Column:
 
 def clean(text: Column | str) -> Column:
     """Stripped text, NULL when nothing is left."""
-    return F.nullif(strip(text), F.lit(""))
+    return filled(strip(text))
 
 
 def squeeze(text: Column | str) -> Column:
@@ -74,20 +80,19 @@ def first_item(text: Column | str) -> Column:
     return let(clean(text), pick)
 
 
-def sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def constant(rows: object, kind: str) -> Column:
+    """Constant array or map written as one JSON text, which the optimizer folds to one literal."""
+    return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), kind)
 
 
 def lookup(table: Mapping[str, object], key: Column) -> Column:
     """Value of a small constant table, NULL for an unknown key."""
-    pairs = ", ".join(
-        f"{sql_text(k)}, {sql_text(v) if isinstance(v, str) else v}" for k, v in table.items()
-    )
-    return F.try_element_at(F.expr(f"map({pairs})"), key)
+    kind = "int" if all(isinstance(v, int) for v in table.values()) else "string"
+    return constant(table, f"map<string,{kind}>")[key]
 
 
 def constant_array(values: Iterable[str]) -> Column:
-    return F.expr("array(" + ", ".join(sql_text(v) for v in values) + ")")
+    return constant(list(values), "array<string>")
 
 
 @lru_cache(maxsize=1)
@@ -114,25 +119,32 @@ def _fold_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(source + marks), "".join(target), tuple(several)
 
 
-def fold_marks(text: Column | str) -> Column:
-    """Decompose letters and drop their marks."""
+LIGATURES = (("œ", "oe"), ("Œ", "OE"), ("æ", "ae"), ("Æ", "AE"))
+
+
+def _fold(text: Column, extra: tuple[tuple[str, str], ...]) -> Column:
     source, target, several = _fold_table()
-    wide = "[" + "".join(c for c, _ in several) + "]"
-    pairs = "array(" + ", ".join(f"struct({sql_text(a)} AS a, {sql_text(b)} AS b)" for a, b in several) + ")"
+    pairs = several + extra
+    wide = "[" + "".join(c for c, _ in pairs) + "]"
+    table = [{"a": a, "b": b} for a, b in pairs]
 
     def expand(t: Column) -> Column:
-        replaced = F.aggregate(F.expr(pairs), t, lambda acc, p: F.replace(acc, p["a"], p["b"]))
+        replaced = F.aggregate(
+            constant(table, "array<struct<a:string,b:string>>"), t, lambda acc, p: F.replace(acc, p["a"], p["b"])
+        )
         return F.when(t.rlike(wide), replaced).otherwise(t)
 
-    return F.translate(let(col(text), expand), source, target)
+    return F.translate(let(text, expand), source, target)
+
+
+def fold_marks(text: Column | str) -> Column:
+    """Decompose letters and drop their marks."""
+    return _fold(col(text), ())
 
 
 def fold_accents(text: Column | str) -> Column:
     """``fold_marks`` plus the two Latin ligatures that do not decompose."""
-    out = fold_marks(text)
-    for ligature, letters in (("œ", "oe"), ("Œ", "OE"), ("æ", "ae"), ("Æ", "AE")):
-        out = F.replace(out, F.lit(ligature), F.lit(letters))
-    return out
+    return _fold(col(text), LIGATURES)
 
 
 def english_lower(text: Column | str) -> Column:
@@ -154,18 +166,13 @@ def quoted_column(text: Column) -> Column:
     return F.regexp_replace(safe, " ", r"\\s+")
 
 
-PHRASE = "struct<name:string,probe:string,body:string>"
+PHRASES = "array<struct<name:string,probe:string,body:string>>"
 
 
 def phrase_table(phrases: Iterable[str]) -> Column:
     """Constant array of phrases with the word that must occur before the pattern is tried."""
-    rows = []
-    for p in phrases:
-        probe = p.split()[0].lower()
-        rows.append(
-            f"named_struct('name', {sql_text(p)}, 'probe', {sql_text(probe)}, 'body', {sql_text(quoted(p))})"
-        )
-    return F.expr("array(" + ", ".join(rows) + ")")
+    rows = [{"name": p, "probe": p.split()[0].lower(), "body": quoted(p)} for p in phrases]
+    return constant(rows, PHRASES)
 
 
 def word(body: Column) -> Column:
