@@ -48,3 +48,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="soldscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
+
+
+def reliable_checkpoint(spark: SparkSession, df):
+    """``df`` written to the shared checkpoint folder, so that lost executors cost no recomputation."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(checkpoint_root(spark))
+    return df.checkpoint()
