@@ -8,10 +8,12 @@ import unicodedata
 from collections.abc import Callable, Iterable, Mapping
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = r"[\s\x1c-\x1f]"
+# every character that counts as a blank at either end of a text
+BLANKS = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
 CJK = r"[一-鿿]"
 
 
@@ -35,8 +37,8 @@ def first(items: Column) -> Column:
 
 
 def strip(text: Column | str) -> Column:
-    """Cut blanks of any kind at both ends; ``trim`` alone knows only the plain blank."""
-    return F.regexp_replace(col(text), rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    """Cut blanks of any kind at both ends; plain ``trim`` knows only one of them."""
+    return F.btrim(col(text), F.lit(BLANKS))
 
 
 def clean(text: Column | str) -> Column:
@@ -81,60 +83,60 @@ def first_item(text: Column | str) -> Column:
 
 
 def constant(rows: object, kind: str) -> Column:
-    """Constant array or map written as one JSON text, which the optimizer folds to one literal."""
+    """Constant array written as one JSON text, which the optimizer folds to one literal."""
     return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), kind)
 
 
 def lookup(table: Mapping[str, object], key: Column) -> Column:
     """Value of a small constant table, NULL for an unknown key."""
     kind = "int" if all(isinstance(v, int) for v in table.values()) else "string"
-    return constant(table, f"map<string,{kind}>")[key]
+    values = constant(list(table.values()), f"array<{kind}>")
+    return F.map_from_arrays(constant_array(table), values)[key]
 
 
 def constant_array(values: Iterable[str]) -> Column:
     return constant(list(values), "array<string>")
 
 
+def _base(ch: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+
+
 @lru_cache(maxsize=1)
 def _fold_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Letters with marks to their base letters, by the compatibility decomposition.
+    """Characters that change under compatibility decomposition without marks, and what they become.
 
-    Marks have no counterpart in the target and are deleted. Letters that decompose to several
-    ones (ligatures, fractions) are returned as pairs; Hangul syllables are left alone.
+    Single replacements come as two strings, marks last: they have no counterpart and are deleted.
+    Those that become several letters (ligatures, fractions) are pairs. Hangul is left alone.
     """
-    source, target, marks, several = [], [], [], []
-    for code in range(0x80, 0x10000):
-        if 0xAC00 <= code <= 0xDFFF:
-            continue
-        ch = chr(code)
-        if unicodedata.combining(ch):
-            marks.append(ch)
-            continue
-        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-        if len(base) == 1 and base != ch:
-            source.append(ch)
-            target.append(base)
-        elif len(base) > 1 and (code < 0x250 or 0x2000 <= code < 0x2190 or 0xFB00 <= code < 0xFB07):
-            several.append((ch, base))
-    return "".join(source + marks), "".join(target), tuple(several)
+    codes = (c for c in range(0x80, 0x10000) if not 0xAC00 <= c <= 0xDFFF)
+    changed = {ch: base for ch in map(chr, codes) if (base := _base(ch)) != ch}
+    single = {ch: base for ch, base in changed.items() if len(base) == 1}
+    marks = [ch for ch, base in changed.items() if base == ""]
+    latin = lambda c: c < 0x250 or 0x2000 <= c < 0x2190 or 0xFB00 <= c < 0xFB07
+    several = tuple((ch, base) for ch, base in changed.items() if len(base) > 1 and latin(ord(ch)))
+    return "".join([*single, *marks]), "".join(single.values()), several
 
 
 LIGATURES = (("œ", "oe"), ("Œ", "OE"), ("æ", "ae"), ("Æ", "AE"))
+BEYOND_ASCII = r"[^\x00-\x7f]"
 
 
 def _fold(text: Column, extra: tuple[tuple[str, str], ...]) -> Column:
+    """Plain ASCII passes after one scan."""
     source, target, several = _fold_table()
     pairs = several + extra
-    wide = "[" + "".join(c for c, _ in pairs) + "]"
+    wide = f"[^\\x00-\\x7f&&[{''.join(c for c, _ in pairs)}]]"
     table = [{"a": a, "b": b} for a, b in pairs]
 
-    def expand(t: Column) -> Column:
-        replaced = F.aggregate(
+    def folded(t: Column) -> Column:
+        expanded = F.aggregate(
             constant(table, "array<struct<a:string,b:string>>"), t, lambda acc, p: F.replace(acc, p["a"], p["b"])
         )
-        return F.when(t.rlike(wide), replaced).otherwise(t)
+        widened = let(F.when(t.rlike(wide), expanded).otherwise(t), lambda w: F.translate(w, source, target))
+        return F.when(t.rlike(BEYOND_ASCII), widened).otherwise(t)
 
-    return F.translate(let(text, expand), source, target)
+    return let(text, folded)
 
 
 def fold_marks(text: Column | str) -> Column:
@@ -179,8 +181,9 @@ def word(body: Column) -> Column:
     return F.concat(F.lit(r"(?iU)\b"), body, F.lit(r"\b"))
 
 
-def may_hold(text: Column, phrase: Column) -> Column:
-    return F.contains(F.lower(text), phrase["probe"])
+def held(text: Column, phrases: Column) -> Column:
+    """Phrases whose first word occurs in the text; removing others cannot make one of them appear."""
+    return let(F.lower(text), lambda low: F.filter(phrases, lambda p: F.contains(low, p["probe"])))
 
 
 def longest_first(phrases: Iterable[str]) -> list[str]:
@@ -189,11 +192,9 @@ def longest_first(phrases: Iterable[str]) -> list[str]:
 
 def strip_anywhere(text: Column, phrases: Iterable[str]) -> Column:
     """Remove whole-word phrases one after the other, wherever they stand."""
-
-    def step(acc: Column, p: Column) -> Column:
-        return F.when(may_hold(acc, p), F.regexp_replace(acc, word(p["body"]), F.lit(" "))).otherwise(acc)
-
-    return squeeze(F.aggregate(phrase_table(phrases), text, step))
+    table = phrase_table(phrases)
+    cut = lambda acc, p: F.regexp_replace(acc, word(p["body"]), F.lit(" "))
+    return squeeze(let(text, lambda t: F.aggregate(held(t, table), t, cut)))
 
 
 def _cut_between_blanks(text: Column, body: Column) -> Column:
@@ -205,12 +206,23 @@ def _cut_between_blanks(text: Column, body: Column) -> Column:
 
 def strip_between_blanks(text: Column, phrases: Iterable[str]) -> Column:
     """Remove phrases that stand between blanks; a text that is nothing but the phrase stays."""
-
-    def step(acc: Column, p: Column) -> Column:
-        return F.when(may_hold(acc, p), _cut_between_blanks(acc, p["body"])).otherwise(acc)
-
-    return squeeze(F.aggregate(phrase_table(longest_first(phrases)), text, step))
+    table = phrase_table(longest_first(phrases))
+    cut = lambda acc, p: _cut_between_blanks(acc, p["body"])
+    return squeeze(let(text, lambda t: F.aggregate(held(t, table), t, cut)))
 
 
 def strip_value_between_blanks(text: Column, value: Column) -> Column:
     return F.when(value.isNull() | (value == ""), text).otherwise(_cut_between_blanks(text, quoted_column(value)))
+
+
+def map_distinct(df: DataFrame, column: str, out: str, expression: Callable[[Column], Column]) -> DataFrame:
+    """Work out ``expression`` once per distinct value of ``column`` and join the results back.
+
+    For expressions that cost more than a join. The join side is as large as the number of
+    distinct values, so adaptive execution decides whether it is broadcast.
+    """
+    key, value = f"_{out}_key", f"_{out}_value"
+    table = df.select(F.col(column).alias(key)).where(F.col(key).isNotNull()).distinct()
+    table = table.withColumn(value, expression(F.col(key)))
+    joined = df.join(table, F.col(column) == F.col(key), "left")
+    return joined.withColumn(out, F.col(value)).drop(key, value)

@@ -12,7 +12,6 @@ from soldscope.operators import predicates as P
 from soldscope.schema import null_of
 
 TOTAL = "decimal(28,2)"
-BAND = 100  # price units; at most 10,001 distinct cent prices fall into one band
 
 CATALOGUE_KEYS = ("brand", "model", "condition", "currency")
 BRAND_KEYS = ("brand",)
@@ -35,66 +34,42 @@ def price_metrics(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFra
     return out.withColumn("avg_price", _average()).drop("priced")
 
 
-def _pick(entries: Column, rank: Column) -> Column:
-    """Price at a one-based rank inside a sorted array of (price, n)."""
-    start = F.struct(rank.alias("left"), F.lit(None).cast("decimal(18,2)").alias("value"))
-
-    def step(acc: Column, entry: Column) -> Column:
-        hit = acc["value"].isNull() & (acc["left"] <= entry["n"])
-        return F.struct(
-            (acc["left"] - entry["n"]).alias("left"),
-            F.when(hit, entry["price"]).otherwise(acc["value"]).alias("value"),
-        )
-
-    return F.aggregate(entries, start, step, lambda acc: acc["value"])
-
-
 def price_metrics_with_median(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``price_metrics`` plus the exact continuous median.
 
-    Equal prices are counted first, so a hot group is spread over its prices, then counts are
-    gathered per price band. Only band rows meet in a group: the window over them spills, and no
-    state grows with the group's rows.
+    Equal prices are counted first, which spreads a hot group over its prices. What then meets per
+    group is one row per distinct price in a sorted window that spills, never the group's rows and
+    never a state in memory; the closing aggregation reuses the window's partitioning.
     """
     keys = list(keys)
     per_price = df.groupBy(*keys, "price").agg(F.count("*").alias("n"))
-    per_band = (
-        per_price.withColumn("band", F.floor(F.col("price") / BAND))
-        .groupBy(*keys, "band")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum(F.when(F.col("price").isNotNull(), F.col("n")).otherwise(0)).alias("priced"),
-            F.min("price").alias("lo"),
-            F.max("price").alias("hi"),
-            F.sum(F.col("price") * F.col("n").cast("decimal(13,0)")).alias("total"),
-            F.array_sort(F.collect_list(F.struct("price", "n"))).alias("entries"),
-        )
-    )
+    priced = F.when(F.col("price").isNotNull(), F.col("n")).otherwise(0)
     group = Window.partitionBy(*keys)
-    running = group.orderBy(F.col("band").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = per_band.select(
-        "*",
+    running = group.orderBy(F.col("price").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = per_price.withColumn("priced", priced).select(
+        *keys,
+        "price",
+        "n",
+        "priced",
         F.sum("priced").over(running).alias("upto"),
-        F.sum("priced").over(group).alias("all_priced"),
+        F.sum("priced").over(group).alias("of"),
     )
-    before = F.col("upto") - F.col("priced")
 
     def at(rank: Column) -> Column:
-        inside = (F.col("priced") > 0) & (before < rank) & (rank <= F.col("upto"))
-        return F.when(inside, _pick(F.col("entries"), rank - before))
+        before = F.col("upto") - F.col("priced")
+        return F.max(F.when((before < rank) & (rank <= F.col("upto")), F.col("price")))
 
-    lower = F.floor((F.col("all_priced") + 1) / 2)
-    upper = F.floor(F.col("all_priced") / 2) + 1
+    lower = F.floor((F.col("of") + 1) / 2)
+    upper = F.floor(F.col("of") / 2) + 1
     return (
-        ranked.select(*keys, "n", "priced", "lo", "hi", "total", at(lower).alias("m1"), at(upper).alias("m2"))
-        .groupBy(*keys)
+        ranked.groupBy(*keys)
         .agg(
             F.sum("n").alias("item_count"),
             F.sum("priced").alias("priced"),
-            F.min("lo").alias("min_price"),
-            F.max("hi").alias("max_price"),
-            ((F.max("m1") + F.max("m2")) / 2).cast("double").alias("median_price"),
-            F.sum("total").cast(TOTAL).alias("total_price"),
+            F.min("price").alias("min_price"),
+            F.max("price").alias("max_price"),
+            ((at(lower) + at(upper)) / 2).cast("double").alias("median_price"),
+            F.sum(F.col("price") * F.col("n").cast("decimal(13,0)")).cast(TOTAL).alias("total_price"),
         )
         .withColumn("avg_price", _average())
         .drop("priced")

@@ -142,9 +142,9 @@ def _(spark, sf_dir):
     return catalogue.integrated_range(sold(spark, sf_dir, *CATALOGUE), START, END, by_day=True)
 
 
-@register("model_sales_single", _single_sql(True, "AND model ILIKE '%ring%'"))
+@register("model_sales_single", _single_sql(True, "AND model ILIKE '%g%'"))
 def _(spark, sf_dir):
-    return catalogue.model_sales_single(sold(spark, sf_dir, *CATALOGUE), DAYS, " Ring ")
+    return catalogue.model_sales_single(sold(spark, sf_dir, *CATALOGUE), DAYS, " G ")
 
 
 @register("model_sales_range", _range_sql(True, "AND model ILIKE '%ring%'"))
@@ -285,13 +285,13 @@ def _(spark, sf_dir):
     "brand_summary_wide",
     f"""{TWO_SQL} SELECT brand, CAST(coalesce(sum(f_item_count), 0) AS BIGINT) AS f_items,
     CAST(coalesce(sum(r_item_count), 0) AS BIGINT) AS r_items,
-    round(avg(f_avg_price), 4) AS f_avg, round(avg(r_avg_price), 4) AS r_avg
+    round(avg(f_avg_price), 8) AS f_avg, round(avg(r_avg_price), 8) AS r_avg
     FROM pair CROSS JOIN compared WHERE r_date IS NOT NULL
     GROUP BY brand ORDER BY f_items DESC, brand LIMIT 15""",
 )
 def _(spark, sf_dir):
     out = comparisons.brand_summary(_two(spark, sf_dir))
-    return out.withColumn("f_avg", F.round("f_avg", 4)).withColumn("r_avg", F.round("r_avg", 4))
+    return out.withColumn("f_avg", F.round("f_avg", 8)).withColumn("r_avg", F.round("r_avg", 8))
 
 
 def _block_sql(shop: str) -> str:

@@ -353,10 +353,12 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = sold(spark, sf_dir, "shop", "condition", "color", "currency")
+    rows = condition.with_grade(rows, "condition", "grade")
+    rows = text.map_distinct(rows, "color", "canonical", color.normalize_color)
     changed = updates.changed_fields(
         {
-            "condition": (F.col("condition"), condition.exact_grade("condition")),
-            "color": (F.col("color"), F.when(F.col("color") != "hot", color.normalize_color("color"))),
+            "condition": (F.col("condition"), F.col("grade")),
+            "color": (F.col("color"), F.when(F.col("color") != "hot", F.col("canonical"))),
             "currency": (F.col("currency"), F.when(money.is_usd("currency"), "CNY").otherwise(F.col("currency"))),
         }
     )

@@ -213,7 +213,8 @@ def prepare(raw: DataFrame, *, usd_cny: str | None = None, keep_images: bool = T
     ``old_data`` was built before prices are converted, so it keeps the raw ones.
     """
     df = with_grade(raw, "condition")
-    df = df.withColumns({"brand": normalize_brand("brand"), "color": normalize_color("color")})
+    df = X.map_distinct(df, "brand", "brand", normalize_brand)
+    df = X.map_distinct(df, "color", "color", normalize_color)
     df = df.withColumns(
         {
             "model": F.lit(None).cast("string"),
