@@ -169,3 +169,18 @@ def test_chains(spark, tmp_path):
     R.backfill_then_reformat(store, source)
     row = {r.id: r for r in store.read().collect()}[1]
     assert (row.model, row.material) == ("speedy 25", "monogram")
+
+
+def test_currency_job(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "s"))
+    rows = [
+        dict(shop="V", id=1, item_id="a", snapshot_date="2026-05-01", price="100", seller_price="90", buyer_fee=None, currency="usd"),
+        dict(shop="V", id=2, item_id="b", snapshot_date="2026-05-01", price="100", seller_price=None, buyer_fee=None, currency="cny"),
+        dict(shop="V", id=3, item_id="c", snapshot_date="2026-05-02", price="100", seller_price=None, buyer_fee=None, currency="EUR"),
+    ]
+    store.overwrite_dates(sold(spark, rows))
+    assert R.normalize_currency(store, "7", dry_run=True).first().changed == 2
+    assert R.normalize_currency(store, "7").first().changed == 2
+    out = {r.id: (str(r.price), r.currency) for r in store.read().collect()}
+    assert out == {1: ("700.00", "CNY"), 2: ("100.00", "CNY"), 3: ("100.00", "EUR")}
+    assert R.normalize_currency(store, "7").first().changed == 0
