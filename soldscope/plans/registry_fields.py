@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from soldscope.functions import color, condition, money, text, urls, year
+from soldscope.functions import color, condition, money, names, text, urls, year
 from soldscope.operators import coverage, images, lexicon, parse_results, titles, updates
 from soldscope.plans.reformat import format_rows
 from soldscope.plans.registry import register
 from soldscope.plans.testtables import SOLD_SQL, sold, table
-from soldscope.sources.selection import select_files
+from soldscope.sources.selection import files_to_backfill, select_files
 
 RATE = "6.801586"
 
@@ -409,3 +411,53 @@ def _(spark, sf_dir):
     pairs = {c: (F.col(c), F.col(f"new_{c}")) for c in ("brand", "model", "condition", "color", "material")}
     marked = done.select("shop", F.array_join(updates.changed_fields(pairs), "|").alias("changed"), "new_model")
     return marked.groupBy("shop", "changed", "new_model").agg(F.count("*").alias("row_count"))
+
+
+# ---------------------------------------------------------------- names, merged fields
+
+
+@register(
+    "english_names",
+    """SELECT p_partkey, lower(p_brand) || ' / hermes' AS brand, 'belt bag ' || lower(p_name) || ' leather, canvas' AS name,
+    'canvas and leather ' || lower(p_type) || ' snake' AS material FROM part""",
+)
+def _(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return part.select(
+        "p_partkey",
+        names.normalize_brand(F.concat(F.lit("['"), F.col("p_brand"), F.lit(" / Hermès']"))).alias("brand"),
+        names.product_name(F.concat(F.lit("Sac  Ceinture "), F.col("p_name"), F.lit("  Cuir, toile "))).alias("name"),
+        names.material(F.concat(F.lit("Toile et cuir "), F.col("p_type"), F.lit("\tSerpent"))).alias("material"),
+    )
+
+
+@register(
+    "merged_fields",
+    """SELECT p_partkey, CASE split_part(p_name, ' ', 1) WHEN 'red' THEN 'gray/red' WHEN 'blue' THEN 'blue/gray'
+      ELSE 'gray/' || split_part(p_name, ' ', 1) END AS color,
+    CASE WHEN lower(p_type) = 'large' THEN 'large/leather' ELSE 'large/leather/' || lower(p_type) END AS material,
+    'sellier/' || split_part(p_name, ' ', 2) AS other FROM part""",
+)
+def _(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    word = lambda i: F.element_at(F.split("p_name", " "), i)
+    return part.select(
+        "p_partkey",
+        color.merge_colors(F.lit("Grey"), F.concat(F.initcap(word(1)), F.lit("/GRIS"))).alias("color"),
+        names.merge_materials(F.lit("LARGE / cuir"), F.col("p_type")).alias("material"),
+        names.merge_other(F.lit("Sellier"), F.concat(word(2), F.lit(" / SELLIER"))).alias("other"),
+    )
+
+
+@register(
+    "files_to_backfill",
+    f"""WITH {SOLD_SQL}, files AS (SELECT DISTINCT shop, snapshot_date, shop || '-' || CAST(snapshot_date AS VARCHAR) || '.csv' AS file_name FROM sold),
+    missing AS (SELECT DISTINCT shop, snapshot_date FROM sold WHERE color = 'red')
+    SELECT f.shop, CAST(f.snapshot_date AS VARCHAR) AS snapshot_date, file_name FROM files f
+    JOIN missing m ON f.shop = m.shop AND f.snapshot_date = m.snapshot_date WHERE f.snapshot_date >= DATE '1997-01-01'""",
+)
+def _(spark, sf_dir):
+    rows = sold(spark, sf_dir, "shop", "snapshot_date", "color")
+    name = F.concat(F.concat_ws("-", "shop", F.col("snapshot_date").cast("string")), F.lit(".csv"))
+    files = rows.select("shop", "snapshot_date", name.alias("file_name")).distinct()
+    return files_to_backfill(files, rows.where("color = 'red'"), date(1997, 1, 1))
