@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,7 +26,9 @@ def build_session(app: str = "soldscope", master: str | None = None, **conf: str
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
@@ -38,13 +42,33 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     return build_session(master=f"local[{cores}]", **settings)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver was started.
+
+    Functions of a package reach a worker by name only, so a worker must be able to import it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_soldscope_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="soldscope-"), "soldscope.zip")
+    with zipfile.ZipFile(archive, "w") as held:
+        for path in sorted(package.rglob("*.py")):
+            held.write(path, path.relative_to(package.parent))
+    context.addPyFile(archive)  # Spark's own file server hands it to the executors
+    context._soldscope_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the session.
 
-    Only a session without ``spark.checkpoint.dir`` (a test) gets a folder of its own.
+    Only a local session without ``spark.checkpoint.dir`` (a test) gets a folder of its own: on a
+    cluster the executors could not read it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="soldscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
