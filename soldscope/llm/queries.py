@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soldscope.llm import exact_dedup, quality, secrets, vector_topk
+import public_tokenizers
+
+from soldscope.llm import bpe, exact_dedup, packing, quality, secrets, vector_topk
 from soldscope.llm.common import id_remainder, table
 
 LEAST_QUALITY = 0.3
@@ -72,6 +74,20 @@ SELECT doc_id, len(a) AS n_assign, len(b) AS n_access, len(c) AS n_hex,
 FROM s"""
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    ranks, tokenizer = map(public_tokenizers.path, ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json"))
+    return packing.pack(docs, ranks, tokenizer, public_tokenizers.PATTERN)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op7_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
     vectors = table(spark, sf_dir, "embeddings").where(vector_topk.usable("embedding")).select("vec_id", cells.alias("cells"))
@@ -107,6 +123,8 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op6_packing": op6_packing,
     "op7_vector_topk": op7_vector_topk,
     "op9_exact_dedup": op9_exact_dedup,
 }
