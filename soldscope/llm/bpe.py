@@ -25,7 +25,6 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
-from tokenizers.pre_tokenizers import ByteLevel
 
 from soldscope.llm.common import rows_of
 
@@ -41,6 +40,13 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in prints else chr(next(others)) for b in range(256)]
 
 
+_SHOWN = dict(enumerate(byte_characters()))
+
+
+def pack(kind: str, ids: list[int]) -> bytes:
+    return np.array(ids, kind).tobytes()
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
@@ -56,17 +62,7 @@ def tokenizer_of_ranks(ranks: dict[bytes, int]) -> Tokenizer:
             if token[:i] in ranks and token[i:] in ranks:
                 merges.append((text[token[:i]], text[token[i:]]))
     model = BPE(vocab={text[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True)
-    made = Tokenizer(model)
-    made.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-    return made
-
-
-def tokenizer_of_file(path: str) -> Tokenizer:
-    """The tokenizer of a JSON file for single pieces: the pattern has already split the text."""
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
-    made.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-    return made
+    return Tokenizer(model)
 
 
 class PieceEncoder:
@@ -109,10 +105,10 @@ class PieceEncoder:
             yield b"".join([own[p] for p in pieces])
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        plain = [p for p in pieces if p not in self.specials]
-        coded = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
-        ids = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(plain, coded)}
-        return [self.specials[p] if p in self.specials else ids[p] for p in pieces]
+        """Each piece's bytes as characters, through the library's merges."""
+        merge = self.tokenizer.model.tokenize
+        shown = [p.encode().decode("latin-1").translate(_SHOWN) for p in pieces]
+        return [self.specials.get(p) or pack("<u4", [t.id for t in merge(s)]) for p, s in zip(pieces, shown)]
 
 
 @lru_cache(maxsize=4)
@@ -122,9 +118,10 @@ def rank_encoder(path: str, pattern: str) -> PieceEncoder:
 
 @lru_cache(maxsize=4)
 def file_encoder(path: str, pattern: str) -> PieceEncoder:
+    """The encoder of a byte-level tokenizer's JSON file, its special strings included."""
     with open(path, encoding="utf-8") as held:
         added = {t["content"]: t["id"] for t in json.load(held)["added_tokens"]}
-    return PieceEncoder(tokenizer_of_file(path), pattern, added)
+    return PieceEncoder(Tokenizer.from_file(path), pattern, added)
 
 
 @lru_cache(maxsize=4)
