@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from soldscope.llm import bpe, exact_dedup, packing, quality, secrets, vector_topk
+from soldscope.llm import bpe, exact_dedup, packing, quality, secrets, suffix_dedup, vector_topk
 from soldscope.llm.common import id_remainder, table
 
 LEAST_QUALITY = 0.3
@@ -120,6 +120,11 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
@@ -127,5 +132,6 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_vector_topk": op7_vector_topk,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES = {"op2_secrets": OP2_SQL, "op7_vector_topk": OP7_SQL, "op9_exact_dedup": OP9_SQL}
