@@ -4,7 +4,7 @@ Every string of ``length`` bytes has a key: the least hash of the grams inside i
 equal keys, so neighbouring strings of one key form a *stretch* (about every 80 bytes), and only
 stretches of one key can hold equal strings.
 
-1. Stretches with a key of their own are unique and end here.
+1. Stretches with a key of their own, and whose strings differ among themselves, end here.
 2. Stretches that are equal as a whole (same key and same digest, 64 bits each) occur again as a whole.
 3. Of the different stretches that share a key one copy each goes into an index: a Burrows-Wheeler
    transform in runs, with text positions kept at run ends only. Between run ends the longest match
@@ -71,11 +71,29 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def stretches(raw: np.ndarray, roller: Roller, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key, first and last start of the stretches of strings of a text of at least ``length`` bytes."""
-    key = sliding_min(roller.hashes(raw, gram), length - gram + 1)
+def stretches(
+    raw: np.ndarray, roller: Roller, length: int, gram: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Key, first and last start, and ``folds`` of the stretches of a text of at least ``length`` bytes.
+
+    ``folds``: the least hash stands at several places of the stretch, without which no two of its
+    strings can be equal.
+    """
+    width = length - gram + 1
+    hashes = roller.hashes(raw, gram)
+    key = sliding_min(hashes, width)
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return key[first], first, np.append(first[1:], len(key)) - 1
+    last = np.append(first[1:], len(key)) - 1
+    # a place holds the least hash of some string exactly if the greatest key around it is its hash
+    none = np.full(width - 1, np.uint64(2**64 - 1))
+    greatest = ~sliding_min(np.concatenate([none, ~key, none]), width)
+    least_at = np.flatnonzero(hashes == greatest)
+    low = np.searchsorted(least_at, first)
+    many = np.searchsorted(least_at, last + width - 1, side="right") - low
+    of = np.repeat(np.arange(len(first)), many)
+    place = least_at[np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)]
+    same = hashes[place] == key[first][of]
+    return key[first], first, last, np.bincount(of[same], minlength=len(first)) > 1
 
 
 # ---- the index -------------------------------------------------------------------------------------------
@@ -192,7 +210,7 @@ def repeated_in(parts: list[bytes], length: int) -> Iterator[tuple[int, int, int
 
 # ---- the steps, in Spark -----------------------------------------------------------------------------------
 
-_STRETCH = "doc_id long, tkey int, key long, digest long, first int, last int"
+_STRETCH = "doc_id long, tkey int, key long, digest long, first int, last int, folds boolean"
 _PART = "key long, doc_id long, tkey int, first int, once boolean, part binary"
 _SPANS = "doc_id long, tkey int, first int, last int"
 
@@ -206,9 +224,9 @@ def _stretches(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 raw = text.encode()
                 if len(raw) < length:
                     continue
-                key, first, last = stretches(np.frombuffer(raw, np.uint8), roller, length, gram)
+                key, first, last, folds = stretches(np.frombuffer(raw, np.uint8), roller, length, gram)
                 digest = [xxhash.xxh3_64_intdigest(raw[i:j]) for i, j in zip(first.tolist(), (last + length).tolist())]
-                held.append((doc_id, tkey, key, np.array(digest, np.uint64), first, last))
+                held.append((doc_id, tkey, key, np.array(digest, np.uint64), first, last, folds))
                 if sum(len(h[2]) for h in held) > 100_000:
                     yield _stretch_batch(held)
                     held = []
@@ -229,8 +247,9 @@ def _stretch_batch(held: list[tuple]) -> pa.RecordBatch:
             pa.array(np.concatenate([h[3] for h in held]).view(np.int64)),
             pa.array(np.concatenate([h[4] for h in held]).astype(np.int32)),
             pa.array(np.concatenate([h[5] for h in held]).astype(np.int32)),
+            pa.array(np.concatenate([h[6] for h in held])),
         ],
-        names=["doc_id", "tkey", "key", "digest", "first", "last"],
+        names=["doc_id", "tkey", "key", "digest", "first", "last", "folds"],
     )
 
 
@@ -330,10 +349,11 @@ def repeated_spans(
     texts = rows_of(docs, id_col, text_col).withColumn("tkey", F.hash("text"))
     found = _stretches(texts, length, gram)
     shared = found.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high")
+        F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"),
+        F.max("folds").alias("folds"),
     )
-    shared = shared.where("n > 1").select("key", (F.col("low") != F.col("high")).alias("mixed"))
-    met = saved(found.join(shared, "key"), "stretches")
+    shared = shared.where("n > 1 or folds").select("key", (F.col("folds") | (F.col("low") != F.col("high"))).alias("mixed"))
+    met = saved(found.drop("folds").join(shared, "key"), "stretches")
     mixed_rows = met.where("mixed")
     content = saved(
         mixed_rows.groupBy("key", "digest").agg(
