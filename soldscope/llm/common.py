@@ -92,3 +92,37 @@ def mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(33))
     h = h * np.uint64(0xC4CEB9FE1A85EC53)
     return h ^ (h >> np.uint64(33))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label_col: str, rows_per_class: int
+) -> tuple[DataFrame, dict[int, int]]:
+    """Texts of a bounded sample of labelled rows (doc_id, text, y), and the labelled ids of each class.
+
+    Of each class the ids with the smallest hash are taken, whatever their order in the files.
+    """
+    labelled = (
+        labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.max(label_col).cast("int").alias("y"))
+    )
+    total = {r.y: r.n for r in labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = [
+        labelled.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class) for y in (0, 1)
+    ]
+    picked = F.broadcast(parts[0].unionByName(parts[1]))  # at most 2 * rows_per_class rows of two numbers
+    return rows_of(docs, "doc_id", "text").join(picked, "doc_id").select("doc_id", "text", "y"), total
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-3) -> tuple[float, float]:
+    """Slope and intercept by Newton steps on the standardised feature."""
+    mean, scale = float(x.mean()), float(x.std()) or 1.0
+    z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
+    w = np.zeros(2)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        step = np.linalg.solve(z.T @ (z * (p * (1 - p) + 1e-9)[:, None]) + ridge * np.eye(2), z.T @ (y - p) - ridge * w)
+        w += step
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(w[0] / scale), float(w[1] - w[0] * mean / scale)

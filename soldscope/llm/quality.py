@@ -17,6 +17,7 @@ every score is that class's share (0.5 if there is none); further columns are ig
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soldscope.llm.common import rows_of
+from soldscope.llm.common import fit_logistic, labelled_sample, rows_of
 
 BLOCK = 512
 DICTIONARY_BYTES = 112 * 1024
@@ -87,20 +88,6 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * x + self.intercept, -500, 500)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and intercept by Newton steps on the standardised feature."""
-    mean, scale = float(x.mean()), float(x.std()) or 1.0
-    z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
-    w = np.zeros(2)
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve(z.T @ (z * (p * (1 - p) + 1e-9)[:, None]) + ridge * np.eye(2), z.T @ (y - p) - ridge * w)
-        w += step
-        if np.abs(step).max() < 1e-9:
-            break
-    return float(w[0] / scale), float(w[1] - w[0] * mean / scale)
-
-
 def fit(samples: list[tuple[int, list[bytes], float | None]]) -> QualityModel:
     """From (label, blocks, weight) rows: dictionaries on the even rows, calibration on the odd ones.
 
@@ -127,17 +114,7 @@ def quality_sample(
     docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows_per_class: int = SAMPLE_ROWS
 ) -> list[tuple[int, list[bytes], float]]:
     """The bounded sample: label, blocks, and the labelled rows that each row stands for."""
-    labelled = labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(
-        F.col("doc_id").cast("long").alias("doc_id")
-    ).agg(F.max(label_col).cast("int").alias("y"))
-    total = {r.y: r.n for r in labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    picked = None
-    for y in total:
-        part = labelled.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
-        picked = part if picked is None else picked.unionByName(part)
-    if picked is None:
-        return []
-    picked = F.broadcast(picked)  # at most 2 * rows_per_class rows of two numbers
+    sample, total = labelled_sample(docs, labels, label_col, rows_per_class)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,15 +122,13 @@ def quality_sample(
             yield pa.record_batch({"doc_id": batch["doc_id"], "y": batch["y"], "cut": pa.array(parts, pa.list_(pa.binary()))})
 
     rows = (
-        rows_of(docs, "doc_id", "text")
-        .join(picked, "doc_id")
-        .mapInArrow(cut, "doc_id long, y int, cut array<binary>")
+        sample.mapInArrow(cut, "doc_id long, y int, cut array<binary>")
         .groupBy("doc_id", "y")
         .agg(F.min("cut").alias("cut"))
         .orderBy("doc_id")
         .collect()
     )
-    found = {y: sum(r.y == y for r in rows) for y in total}
+    found = Counter(r.y for r in rows)
     return [(r.y, [bytes(b) for b in r.cut], total[r.y] / found[r.y]) for r in rows]
 
 

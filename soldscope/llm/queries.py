@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from soldscope.llm import bpe, exact_dedup, packing, quality, secrets, suffix_dedup, vector_topk
+from soldscope.llm import bpe, exact_dedup, packing, quality, secrets, suffix_dedup, toxicity, vector_topk
 from soldscope.llm.common import id_remainder, table
 
 LEAST_QUALITY = 0.3
+LEAST_TOXIC = 0.7
 
 
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.QualityModel:
@@ -79,6 +80,20 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(id_remainder("doc_id", 3) != 1)
+    scores = toxicity.toxicity_scores(docs, toxicity.fit(docs, labels))
+    return scores.select(
+        "doc_id",
+        (id_remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= LEAST_TOXIC).cast("int").alias("predicted"),
+        "examples",
+        "similarities",
+    )
+
+
 def packed(docs: DataFrame) -> DataFrame:
     ranks, tokenizer = map(public_tokenizers.path, ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json"))
     return packing.pack(docs, ranks, tokenizer, public_tokenizers.PATTERN)
@@ -129,6 +144,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_vector_topk": op7_vector_topk,
     "op9_exact_dedup": op9_exact_dedup,
