@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from soldscope.llm import bpe, exact_dedup, packing, quality, secrets, suffix_dedup, toxicity, vector_topk
+from soldscope.llm import bpe, exact_dedup, lattice_lm, packing, quality, secrets, suffix_dedup, toxicity, vector_topk
 from soldscope.llm.common import id_remainder, table
 
 LEAST_QUALITY = 0.3
@@ -75,6 +75,21 @@ SELECT doc_id, len(a) AS n_assign, len(b) AS n_access, len(c) AS n_hex,
 FROM s"""
 
 
+def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    train = id_remainder("doc_id", 5) != 1
+    scores = lattice_lm.document_scores(table(spark, sf_dir, "documents"), train, path, public_tokenizers.PATTERN)
+    return scores.select(
+        "doc_id",
+        (id_remainder("doc_id", 5) == 1).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -143,6 +158,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
+    "op3_lattice_lm": op3_lattice_lm,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
