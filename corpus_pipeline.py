@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from soldscope.llm import exact_dedup, quality, secrets
+from soldscope.llm import exact_dedup, jaccard_join, quality, secrets
 from soldscope.llm.common import table
-from soldscope.llm.queries import LEAST_QUALITY, quality_model
+from soldscope.llm.queries import LEAST_QUALITY, packed, quality_model
 from soldscope.session import checkpoint_root
 
 
@@ -22,7 +23,29 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup_rows(docs)
 
 
-STAGES = [("quality", keep_quality), ("exact_dedup", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 or more keeps the one with the smallest id."""
+    return jaccard_join.keep_one(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts; documents without secrets stay as they are."""
+    masked = secrets.mask_secrets(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the documents into sequences of at most 2048 tokens."""
+    return packed(docs)
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("exact_dedup", drop_copies),
+    ("near_duplicates", drop_near_copies),
+    ("secrets", mask_secrets),
+    ("packing", pack),
+]
 # the classifier is fitted, so no SQL can say which rows stay
 ORACLE_SQL = None
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from soldscope.llm import bpe, exact_dedup, lattice_lm, packing, quality, secrets, suffix_dedup, toxicity, vector_topk
+from soldscope.llm import bpe, exact_dedup, jaccard_join, lattice_lm, packing, quality, secrets, suffix_dedup, toxicity, vector_topk
 from soldscope.llm.common import id_remainder, table
 
 LEAST_QUALITY = 0.3
@@ -138,6 +138,10 @@ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score D
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return found.select(
@@ -163,6 +167,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_vector_topk": op7_vector_topk,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
