@@ -12,6 +12,8 @@ from soldscope.llm.common import table
 from soldscope.llm.queries import LEAST_QUALITY, packed, quality_model
 from soldscope.session import checkpoint_root
 
+MASK = "[secret]"
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier rejects."""
@@ -30,8 +32,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts; documents without secrets stay as they are."""
-    masked = secrets.mask_secrets(docs)
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
+    masked = secrets.mask_secrets(docs, mask=MASK)
+    if "n_chars" not in docs.columns:
+        return masked
+    changed = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return masked.withColumn("n_chars", F.when(F.col("text").contains(MASK), changed).otherwise(F.col("n_chars")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
