@@ -34,8 +34,8 @@ from soldscope.llm.common import boundaries, groups_in_order, mixed, rows_of, sa
 
 LENGTH = 200
 GRAM = 40
-GROUP_ROWS = 16_384
-_INDEX_BYTES = 4_000_000
+GROUP_ROWS = 8_192
+_INDEX_BYTES = 1_500_000  # the index takes about 80 bytes a byte
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
