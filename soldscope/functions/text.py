@@ -103,38 +103,44 @@ def _base(ch: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _fold_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
+def _fold_table() -> tuple[str, str, tuple[tuple[str, str], ...], tuple[tuple[str, str], ...]]:
     """Characters that change under compatibility decomposition without marks, and what they become.
 
     Single replacements come as two strings, marks last: they have no counterpart and are deleted.
-    Those that become several letters (ligatures, fractions) are pairs. Hangul is left alone.
+    Those that become several characters are pairs, the usual ones (Latin ligatures, fractions, signs)
+    apart from the rest, which is looked at only in texts that hold one. Hangul is left alone.
     """
-    codes = (c for c in range(0x80, 0x10000) if not 0xAC00 <= c <= 0xDFFF)
+    codes = (c for c in range(0x80, 0x110000) if not 0xAC00 <= c <= 0xDFFF)
     changed = {ch: base for ch in map(chr, codes) if (base := _base(ch)) != ch}
     single = {ch: base for ch, base in changed.items() if len(base) == 1}
     marks = [ch for ch, base in changed.items() if base == ""]
     latin = lambda c: c < 0x250 or 0x2000 <= c < 0x2190 or 0xFB00 <= c < 0xFB07
-    several = tuple((ch, base) for ch, base in changed.items() if len(base) > 1 and latin(ord(ch)))
-    return "".join([*single, *marks]), "".join(single.values()), several
+    several = [(ch, base) for ch, base in changed.items() if len(base) > 1]
+    usual = tuple(p for p in several if latin(ord(p[0])))
+    rare = tuple(p for p in several if not latin(ord(p[0])))
+    return "".join([*single, *marks]), "".join(single.values()), usual, rare
 
 
 LIGATURES = (("œ", "oe"), ("Œ", "OE"), ("æ", "ae"), ("Æ", "AE"))
 BEYOND_ASCII = r"[^\x00-\x7f]"
 
 
+def _expanded(text: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
+    """Each character of the text that a pair names, in the other's form, in one pass over its characters."""
+    table = constant([{"key": a, "value": b} for a, b in pairs], "array<struct<key:string,value:string>>")
+    known = F.map_from_entries(table)
+    return F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(known[c], c)), "")
+
+
 def _fold(text: Column, extra: tuple[tuple[str, str], ...]) -> Column:
-    """Plain ASCII passes after one scan."""
-    source, target, several = _fold_table()
-    pairs = several + extra
-    wide = f"[^\\x00-\\x7f&&[{''.join(c for c, _ in pairs)}]]"
-    table = [{"a": a, "b": b} for a, b in pairs]
+    """Plain ASCII passes after one scan; pairs are looked up only in texts that hold one of them."""
+    source, target, usual, rare = _fold_table()
+    holds = lambda t, pairs: t.rlike(f"[^\\x00-\\x7f&&[{''.join(a for a, _ in pairs)}]]")
+    usual = usual + extra
 
     def folded(t: Column) -> Column:
-        expanded = F.aggregate(
-            constant(table, "array<struct<a:string,b:string>>"), t, lambda acc, p: F.replace(acc, p["a"], p["b"])
-        )
-        widened = let(F.when(t.rlike(wide), expanded).otherwise(t), lambda w: F.translate(w, source, target))
-        return F.when(t.rlike(BEYOND_ASCII), widened).otherwise(t)
+        wide = let(F.when(holds(t, rare), _expanded(t, rare)).otherwise(t), lambda w: F.when(holds(w, usual), _expanded(w, usual)).otherwise(w))
+        return F.when(t.rlike(BEYOND_ASCII), F.translate(wide, source, target)).otherwise(t)
 
     return let(text, folded)
 

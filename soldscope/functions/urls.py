@@ -10,7 +10,6 @@ DRIVE_HOSTS = ("feishu.cn", "larksuite.com", "feishu.com")
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "gif", "webp", "bmp", "heic")
 
 URL = r"""(?i)https?://[^\s,;|\]"'>]+"""
-MAX_REPLACED = 20
 
 
 def _col(value: Column | str) -> Column:

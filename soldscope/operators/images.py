@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soldscope.functions.urls import MAX_REPLACED, extract_urls, needs_login, url_key
+from soldscope.functions.urls import extract_urls, needs_login, url_key
 
 CELLS = ("image", "image_path", "image_urls")
 
@@ -20,14 +20,15 @@ def urls_to_fetch(rows: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def replace_urls(rows: DataFrame, mirrored: DataFrame, column: str) -> DataFrame:
-    """Swap up to twenty URLs per cell for their mirrored form; unknown ones stay.
+def replace_urls(rows: DataFrame, mirrored: DataFrame, column: str, most: int | None = None) -> DataFrame:
+    """Swap the URLs of each cell (the first ``most``, if given) for their mirrored form; unknown ones stay.
 
     Distinct cells are worked on once: their URLs meet the map by an equi-join and come back in
     cell order.
     """
     cells = rows.select(F.col(column).alias("_cell")).where("_cell is not null").distinct()
-    found = cells.select("_cell", F.posexplode(F.slice(extract_urls("_cell"), 1, MAX_REPLACED)).alias("_at", "_url"))
+    urls = extract_urls("_cell") if most is None else F.slice(extract_urls("_cell"), 1, most)
+    found = cells.select("_cell", F.posexplode(urls).alias("_at", "_url"))
     target = mirrored.groupBy(F.col("url").alias("_url")).agg(F.max("mirrored_url").alias("_new"))
     pairs = found.join(target, "_url").groupBy("_cell").agg(
         F.array_sort(F.collect_list(F.struct("_at", "_url", "_new"))).alias("_pairs")

@@ -142,3 +142,15 @@ def matches(search: Search) -> Column:
     if search.product:
         parts.append(F.col("model") == search.product)
     return all_of(parts)
+
+
+def in_partitions(partitions: Iterable[tuple[str, date | None]]) -> Column:
+    """Rows of the given (shop, date) partitions: plain conditions on the partition columns, so they prune."""
+    by_shop: dict[str, list[date | None]] = {}
+    for shop, day in partitions:
+        by_shop.setdefault(shop, []).append(day)
+    parts = [
+        (F.col("shop") == shop) & any_of([F.col("snapshot_date").isin([d for d in days if d is not None]), F.lit(None in days) & F.col("snapshot_date").isNull()])
+        for shop, days in by_shop.items()
+    ]
+    return any_of(parts) if parts else F.lit(False)

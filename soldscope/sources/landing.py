@@ -36,8 +36,7 @@ OLD_DATA_V = (
     "seller_price", "buyer_fee", "likes", "listed_at", "sold_at", "url",
 )
 GLOBS = {"csv": "*.[cC][sS][vV]", "json": "*.[jJ][sS][oO][nN]*", "parquet": "*.[pP][aA][rR][qQ][uU][eE][tT]"}
-MAX_CELLS = 64
-CSV_ROW = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MAX_CELLS)])
+CSV_OPTIONS = {"multiLine": "true", "quote": '"', "escape": '"'}
 
 
 def snapshot_date(file_name: Column | str) -> Column:
@@ -80,17 +79,45 @@ def _file_columns() -> list[Column]:
     ]
 
 
+def csv_width(spark: SparkSession, paths: list[str] | str) -> int:
+    """Cells that a header line can hold: separators of the widest line that names an id, plus one.
+
+    Cells to the right of the header have no name, so the header line alone sets the width.
+    """
+    lines = _reader(spark, "csv").text(paths).where(F.lower("value").contains(ID_HEADER))
+    return lines.agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+
+
+def read_csv(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Rows of CSV files as one array of cells each; quoted cells may hold line breaks."""
+    width = csv_width(spark, paths)
+    row = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    rows = _reader(spark, "csv").options(**CSV_OPTIONS).schema(row).csv(paths)
+    return rows.select(F.array(*[f"c{i}" for i in range(width)]).alias("cells"), *_file_columns())
+
+
 def cells_of_csv(rows: DataFrame) -> DataFrame:
-    """CSV rows read as ``CSV_ROW`` with file columns: each file's own header row names its cells."""
-    cells = rows.select("shop", "file_name", F.array(*[f"c{i}" for i in range(MAX_CELLS)]).alias("cells"))
-    cells = cells.withColumn("is_header", _is_header(F.col("cells")))
+    """Rows of cells with file columns: each file's own header row names its cells.
+
+    A file without a header row keeps its rows, with no named cell: the record step counts them out.
+    Headers are few and narrow, so the large side of the join is the one that may be split.
+    """
+    cells = rows.select("shop", "file_name", "cells").withColumn("is_header", _is_header(F.col("cells")))
     headers = cells.where("is_header").groupBy("shop", "file_name").agg(F.min("cells").alias("header"))
     body = cells.where(~F.coalesce("is_header", F.lit(False)))
-    named = body.join(headers, ["shop", "file_name"]).withColumn(
+    named = body.join(headers, ["shop", "file_name"], "left").withColumn(
         "pairs",
         F.filter(F.arrays_zip(F.col("header").alias("key"), F.col("cells").alias("value")), lambda p: p["key"].isNotNull()),
     )
-    return named.select("shop", "file_name", "pairs")
+    return named.select("shop", "file_name", F.coalesce("pairs", F.array().cast("array<struct<key:string,value:string>>")).alias("pairs"))
+
+
+def files_without_header(spark: SparkSession, root: str) -> DataFrame:
+    """shop, file_name and rows of the CSV files in which no row is a header; their rows are not loaded."""
+    rows = read_csv(spark, root)
+    return rows.groupBy("shop", "file_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.coalesce(_is_header(F.col("cells")), F.lit(False))).alias("headed")
+    ).where("not headed").select("shop", "file_name", "rows")
 
 
 def cells_of_json(lines: DataFrame) -> DataFrame:
@@ -99,31 +126,39 @@ def cells_of_json(lines: DataFrame) -> DataFrame:
     return lines.select("shop", "file_name", F.map_entries(row).alias("pairs"))
 
 
-def read_cells(spark: SparkSession, root: str, fmt: str = "csv") -> DataFrame:
-    """Rows of all files as ``(shop, file_name, pairs)``; ``pairs`` lists header and cell in file order."""
-    reader = spark.read.option("pathGlobFilter", GLOBS[fmt]).option("recursiveFileLookup", "true")
+def _reader(spark: SparkSession, fmt: str):
+    return spark.read.option("pathGlobFilter", GLOBS[fmt]).option("recursiveFileLookup", "true")
+
+
+def read_cells(spark: SparkSession, root: list[str] | str, fmt: str = "csv") -> DataFrame:
+    """Rows of all files as ``(shop, file_name, pairs)``; ``pairs`` lists header and cell in file order.
+
+    A CSV file with line breaks in cells is read by one task; very large snapshots should come as JSON
+    lines or Parquet, which split.
+    """
     if fmt == "csv":
-        return cells_of_csv(reader.schema(CSV_ROW).csv(root).select("*", *_file_columns()))
+        return cells_of_csv(read_csv(spark, root))
+    reader = _reader(spark, fmt)
     if fmt == "json":
         return cells_of_json(reader.text(root).select("value", *_file_columns()))
-    rows = reader.option("mergeSchema", "true").parquet(root)
+    rows = reader.option("mergeSchema", "true").parquet(*([root] if isinstance(root, str) else root))
     pairs = F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"`{c}`").cast("string").alias("value")) for c in rows.columns])
     return rows.select(*_file_columns(), pairs.alias("pairs"))
 
 
-def stream_cells(spark: SparkSession, root: str, fmt: str = "csv", max_files: int | None = None) -> DataFrame:
-    """Streaming counterpart of ``read_cells`` before naming; see ``batch_cells``."""
-    reader = spark.readStream.option("pathGlobFilter", GLOBS[fmt]).option("recursiveFileLookup", "true")
+def stream_files(spark: SparkSession, root: str, fmt: str = "csv", max_files: int | None = None) -> DataFrame:
+    """Stream of the paths of new files; only the listing is read."""
+    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", GLOBS[fmt]).option("recursiveFileLookup", "true")
+    kind = "path string, modificationTime timestamp, length long, content binary"
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if fmt == "csv":
-        return reader.schema(CSV_ROW).csv(root).select("*", *_file_columns())
-    return reader.text(root).select("value", *_file_columns())
+    return reader.schema(kind).load(root).select("path")
 
 
 def batch_cells(batch: DataFrame, fmt: str = "csv") -> DataFrame:
-    """Cells of one micro-batch; the file source never splits a file over batches."""
-    return cells_of_csv(batch) if fmt == "csv" else cells_of_json(batch)
+    """Cells of the files of one micro-batch. Their names go through the driver, which planned the batch."""
+    paths = [r.path for r in batch.select("path").distinct().collect()]
+    return read_cells(batch.sparkSession, paths, fmt)
 
 
 def _field(header: Column) -> Column:

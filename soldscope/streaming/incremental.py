@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from soldscope.plans.reformat import reconcile_brands, reformat
-from soldscope.session import checkpoint_root
 from soldscope.sources import landing
 from soldscope.sources.selection import rows_of, select_files
 from soldscope.sources.store import SnapshotStore
@@ -27,6 +26,8 @@ def load_batch(
     **format_options: DataFrame,
 ) -> None:
     """Store one micro-batch date by date, then format the dates it brought."""
+    if batch.isEmpty():
+        return
     raw = landing.records(landing.batch_cells(batch, fmt))
     files = raw.select("shop", "file_name", "snapshot_date").distinct()
     chosen = select_files(files, store.stored_dates(), skip_existing=skip_existing)
@@ -47,11 +48,15 @@ def run_incremental(
     checkpoint: str | None = None,
     **options,
 ) -> None:
-    """Take every file that arrived since the last run, then stop."""
-    stream = landing.stream_cells(spark, root, fmt, max_files)
+    """Take every file that arrived since the last run, then stop.
+
+    What the stream has read is remembered under ``checkpoint``, else beside the store, where it stays
+    for the next session.
+    """
+    stream = landing.stream_files(spark, root, fmt, max_files)
     query = (
         stream.writeStream.foreachBatch(lambda batch, _: load_batch(batch, store, fmt=fmt, **options))
-        .option("checkpointLocation", checkpoint or f"{checkpoint_root(spark)}/incremental")
+        .option("checkpointLocation", checkpoint or f"{store.path.rstrip('/')}_incremental")
         .trigger(availableNow=True)
         .start()
     )

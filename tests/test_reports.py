@@ -213,10 +213,10 @@ def test_lexicon(spark, tmp_path):
     titles = spark.createDataFrame([("Alma Deep Sea, Blue",), ("Alma deepsea blue",), ("Rose Gold Kelly",)], "title string")
     hits = {r.title: r.lexicon_words for r in lexicon.lexicon_hits(titles, lex).collect()}
     assert hits == {"Alma Deep Sea, Blue": ["deep sea blue"], "Rose Gold Kelly": ["rose gold"]}
-    words = ["Noirmont"] * 30 + ["WOC"] * 30 + ["travel"] * 30 + ["dark"] * 30 + ["Pivoine"] * 9 + ["Rare"] * 7 + ["Bag"] * 30 + ["MM"] * 30 + ["Ecru"] * 9
+    words = ["Ring"] * 30 + ["deep"] * 30 + ["Neon"] * 30 + ["ABC"] * 30 + ["Noirmont"] * 30 + ["WOC"] * 30 + ["travel"] * 30 + ["dark"] * 30 + ["Pivoine"] * 9 + ["Rare"] * 7 + ["Bag"] * 30 + ["MM"] * 30 + ["Ecru"] * 9
     df = spark.createDataFrame([(f"Some {w}",) for w in words], "title string")
     report = lexicon.new_words(lexicon.mine_tail_words(df, lexicon.default_skip_words(spark)), lex)
-    assert [r.word for r in report.collect()] == ["dark", "Noirmont", "travel", "WOC", "Ecru"]
+    assert [r.word for r in report.collect()] == ["ABC", "dark", "Neon", "Noirmont", "Ecru"]
     assert {r.word for r in lexicon.words_to_add(report).collect()} == {"dark", "Noirmont"}
     lexicon.write_report(report, str(tmp_path / "report"))
     lexicon.append_words(report, str(tmp_path / "added"))

@@ -184,3 +184,63 @@ def test_currency_job(spark, tmp_path):
     out = {r.id: (str(r.price), r.currency) for r in store.read().collect()}
     assert out == {1: ("700.00", "CNY"), 2: ("100.00", "CNY"), 3: ("100.00", "EUR")}
     assert R.normalize_currency(store, "7").first().changed == 0
+
+
+def test_wide_and_multi_line_csv(spark, tmp_path):
+    folder = tmp_path / "F"
+    folder.mkdir()
+    names = ["id", *(f"x{i}" for i in range(67)), "价格", "颜色"]
+    first = ["a1", *("v" for _ in range(67)), "120", '"deep\nsea, ""blue"""']
+    second = ["a2", *("v" for _ in range(67)), "130", "red"]
+    text = "\n".join(",".join(line) for line in (names, first, second)) + "\n"
+    (folder / "2026年05月01日-f.csv").write_text(text, encoding="utf-8")
+    (folder / "2026年05月02日-f.csv").write_text("1,2,3\n4,5,6\n", encoding="utf-8")
+    rows = {r.item_id: r for r in landing.records(landing.read_cells(spark, str(tmp_path))).collect()}
+    assert set(rows) == {"a1", "a2"}
+    assert rows["a1"].price == 120 and rows["a1"].color == 'deep\nsea, "blue"'
+    assert rows["a2"].price == 130 and rows["a2"].color == "red"
+    lost = landing.files_without_header(spark, str(tmp_path)).collect()
+    assert [(r.file_name, r.rows) for r in lost] == [("2026年05月02日-f.csv", 2)]
+
+
+def test_only_touched_partitions_are_written(spark, tmp_path):
+    from datetime import date
+
+    from soldscope.plans.reformat import repair_colors
+    from soldscope.schema import SOLD
+
+    path = tmp_path / "sold"
+    store = SnapshotStore(spark, str(path))
+    days = [date(2026, 5, d) for d in (1, 2, 3)]
+    rows = [{"shop": "F", "snapshot_date": d, "item_id": "x", "color": "['Black']" if d == days[1] else "Red"} for d in days]
+    rows.append({"shop": "F", "snapshot_date": None, "item_id": "x", "color": "Red"})
+    kept = [tuple(r.get(f.name) for f in SOLD.fields) for r in rows]
+    store.overwrite_dates(spark.createDataFrame(kept, SOLD))
+    assert {(r.shop, r.snapshot_date) for r in store.stored_dates().collect()} == {("F", d) for d in [*days, None]}
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    before = files()
+    counts = repair_colors(store).first()
+    assert (counts.scanned, counts.changed) == (4, 1)
+    after = files()
+    gone = [p for p in before if p not in after]
+    assert len(gone) == 1 and "snapshot_date=2026-05-02" in gone[0]
+    assert all(after[p] == t for p, t in before.items() if p in after)
+    assert store.read().count() == 4
+
+
+def test_python_functions_reach_workers_elsewhere(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    code = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from soldscope.session import local_session
+from soldscope.functions.condition import with_grade
+spark = local_session(2)
+df = spark.createDataFrame([("Excelent",), ("great",)], "condition string")
+print(sorted(r.condition for r in with_grade(df).collect()))
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=240)
+    assert "['98新/Great', '99新/Excellent']" in done.stdout, done.stderr[-2000:]
