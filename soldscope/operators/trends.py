@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soldscope.operators import predicates as P
-from soldscope.operators.catalogue import TOTAL, price_metrics_with_median
+from soldscope.operators.catalogue import TOTAL, price_metrics, price_metrics_with_median
 from soldscope.operators.projections import NO_LABEL, average
 
 
@@ -31,6 +31,13 @@ def model_price_trend(sold: DataFrame, start: date, end: date, keyword: str) ->
     )
 
 
+def daily_prices(sold: DataFrame, start: date, end: date, keyword: str) -> DataFrame:
+    """The points of ``model_price_trend`` without the median, for figures that need none."""
+    rows = sold.where(P.in_range(start, end) & P.title_contains(keyword) & P.has_price())
+    out = price_metrics(rows, ("snapshot_date", "currency"))
+    return out.withColumn("currency", F.coalesce("currency", F.lit(NO_LABEL)))
+
+
 def shop_daily_trends(sold: DataFrame, start: date, end: date) -> DataFrame:
     return (
         sold.where(P.in_range(start, end))

@@ -7,9 +7,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-_METRICS = """count(*) AS item_count, CAST(sum(price) AS DOUBLE) / nullif(count(price), 0) AS avg_price,
+# over rows counted per price, so a group's state holds distinct prices, not its rows
+_METRICS = """sum(n) AS item_count, CAST(sum(price * n) AS DOUBLE) / nullif(sum(if(price IS NULL, 0, n)), 0) AS avg_price,
     min(price) AS min_price, max(price) AS max_price,
-    percentile(CAST(price AS DOUBLE), 0.5) AS median_price, CAST(sum(price) AS DECIMAL(28,2)) AS total_price"""
+    percentile(CAST(price AS DOUBLE), 0.5, n) AS median_price, CAST(sum(price * n) AS DECIMAL(28,2)) AS total_price"""
 
 
 def _paired(shop: str) -> str:
@@ -20,7 +21,9 @@ def _paired(shop: str) -> str:
 
 def _groups(shop: str, day: str, extra: str = "") -> str:
     return f"""SELECT brand, model, condition{extra}, {_METRICS}
-    FROM sold WHERE shop = '{shop}' AND snapshot_date = {day} GROUP BY brand, model, condition{extra}"""
+    FROM (SELECT brand, model, condition{extra}, price, count(*) AS n FROM sold
+      WHERE shop = '{shop}' AND snapshot_date = {day} GROUP BY brand, model, condition{extra}, price)
+    GROUP BY brand, model, condition{extra}"""
 
 
 def _columns(side: str, prefix: str) -> str:

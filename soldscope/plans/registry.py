@@ -171,6 +171,11 @@ def _trend(spark, sf_dir):
     return trends.model_price_trend(rows, START, END, "ring")
 
 
+def _points(spark, sf_dir):
+    rows = sold(spark, sf_dir, "snapshot_date", "currency", "price", "model")
+    return trends.daily_prices(rows, START, END, "ring")
+
+
 @register(
     "model_price_trend",
     f"""WITH {SOLD_SQL}, {TREND_SQL} SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, currency, item_count,
@@ -190,7 +195,7 @@ def _(spark, sf_dir):
     count(DISTINCT snapshot_date) AS snapshot_days FROM trend HAVING count(*) > 0""",
 )
 def _(spark, sf_dir):
-    return trends.period_summary(_trend(spark, sf_dir))
+    return trends.period_summary(_points(spark, sf_dir))
 
 
 @register(
@@ -198,7 +203,7 @@ def _(spark, sf_dir):
     f"WITH {SOLD_SQL}, {TREND_SQL} SELECT DISTINCT currency FROM trend WHERE currency IS NOT NULL",
 )
 def _(spark, sf_dir):
-    return trends.currencies(_trend(spark, sf_dir))
+    return trends.currencies(_points(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- pairing and comparisons

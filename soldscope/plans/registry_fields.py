@@ -59,8 +59,8 @@ def _(spark, sf_dir):
     f"""WITH {SOLD_SQL} SELECT condition, {GRADE_SQL} AS grade, count(*) AS row_count FROM sold GROUP BY condition""",
 )
 def _(spark, sf_dir):
-    rows = condition.with_grade(sold(spark, sf_dir, "condition"), "condition", "grade")
-    return rows.groupBy("condition", "grade").agg(F.count("*").alias("row_count"))
+    counted = sold(spark, sf_dir, "condition").groupBy("condition").agg(F.count("*").alias("row_count"))
+    return condition.with_grade(counted, "condition", "grade").select("condition", "grade", "row_count")
 
 
 @register(
@@ -70,8 +70,8 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = sold(spark, sf_dir, "condition").select(F.expr("left(condition, length(condition) - 1)").alias("wording"))
-    graded = condition.with_grade(rows, "wording", "grade")
-    return graded.groupBy("wording", "grade").agg(F.count("*").alias("row_count"))
+    counted = rows.groupBy("wording").agg(F.count("*").alias("row_count"))
+    return condition.with_grade(counted, "wording", "grade").select("wording", "grade", "row_count")
 
 
 @register(
@@ -354,8 +354,8 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = sold(spark, sf_dir, "shop", "condition", "color", "currency")
-    rows = condition.with_grade(rows, "condition", "grade")
-    rows = text.map_distinct(rows, "color", "canonical", color.normalize_color)
+    rows = rows.groupBy("shop", "condition", "color", "currency").agg(F.count("*").alias("n"))
+    rows = condition.with_grade(rows, "condition", "grade").withColumn("canonical", color.normalize_color("color"))
     changed = updates.changed_fields(
         {
             "condition": (F.col("condition"), F.col("grade")),
@@ -363,8 +363,8 @@ def _(spark, sf_dir):
             "currency": (F.col("currency"), F.when(money.is_usd("currency"), "CNY").otherwise(F.col("currency"))),
         }
     )
-    marked = rows.select("shop", F.array_join(changed, "|").alias("changed"))
-    return marked.groupBy("shop", "changed").agg(F.count("*").alias("row_count"))
+    marked = rows.select("shop", "n", F.array_join(changed, "|").alias("changed"))
+    return marked.groupBy("shop", "changed").agg(F.sum("n").alias("row_count"))
 
 
 @register(
