@@ -7,7 +7,7 @@ over all segmentations of a word, once a distinct word. One more arc spans a wor
 of the training tokens, for which the pieces leave room as often as training met a new word (of N
 tokens V + 1 were new). A document's score is the sum over its words and its end.
 
-Counts of words and pieces cover all training documents. The ``SHARED_WORDS`` most frequent words go
+Counts of words and pieces cover all training documents. The most frequent words (``SHARED_WORDS`` at most) go
 to every task (a bounded table); all other words of a document meet their counts in a join.
 
 Defined results: a null text counts as empty and is the end alone; rows with equal ids are told apart
@@ -162,6 +162,21 @@ def piece_scores(words: DataFrame, ends: int, path: str, pattern: str) -> tuple[
     return pieces, np.log10((n + PIECE_PRIOR) / total), math.log10((ends + PIECE_PRIOR) / total)
 
 
+def frequent_from(words: DataFrame, most: int) -> int:
+    """The least count at which at most ``most`` words are as frequent, to about one part in sixty.
+
+    Words are counted by the logarithm of their count, a few thousand classes in any corpus.
+    """
+    by_class = words.groupBy(F.floor(F.log2("n") * 64).alias("class")).agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("low"))
+    least, held = 2**62, 0
+    for r in sorted(by_class.collect(), key=lambda r: -r["class"]):
+        held += r.k
+        if held > most:
+            break
+        least = r.low
+    return least
+
+
 def document_scores(
     docs: DataFrame, train: Column, path: str, pattern: str, shared_words: int = SHARED_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -188,7 +203,7 @@ def document_scores(
             yield pa.record_batch([*(batch[c] for c in ("word", "c", "n")), pa.array(own)], names=["word", "c", "n", "own"])
 
     valued = saved(counts.mapInArrow(value, "word binary, c long, n long, own double"), "valued-words")
-    often = valued.orderBy(F.desc("n"), "word").limit(shared_words).toArrow()  # shared_words rows
+    often = valued.where(F.col("n") >= frequent_from(valued, shared_words)).select("word", "c", "own").toArrow()  # shared_words rows at most
     held = spark.sparkContext.broadcast({c: often[c].to_pylist() for c in ("word", "c", "own")})
     end_base = math.log10(ends + 0.5) - low
 
