@@ -139,7 +139,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
+    found = jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("group_id").alias("class_id"), "n_links", "text_class", "class_texts")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
