@@ -76,6 +76,44 @@ def price_metrics_with_median(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def price_metrics_wide(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``price_metrics_with_median`` for few keys with very many prices each.
+
+    Prices are counted in classes of about one percent first. A group's classes, a few thousand at most,
+    tell which of them hold the middle ranks, and only the prices of those are put in order.
+    """
+    keys = list(keys)
+    per_price = df.groupBy(*keys, "price").agg(F.count("*").alias("n"))
+    plain = F.col("price").cast("double")
+    classed = per_price.where("price is not null").withColumn(
+        "class", (F.signum(plain) * F.floor(F.log2(F.abs(plain) + 1) * 64)).cast("int")
+    )
+    group = Window.partitionBy(*keys)
+    running = group.orderBy("class").rowsBetween(Window.unboundedPreceding, 0)
+    classes = classed.groupBy(*keys, "class").agg(F.sum("n").alias("held"))
+    classes = classes.select(*keys, "class", "held", F.sum("held").over(running).alias("upto"), F.sum("held").over(group).alias("of"))
+    ranks = {"lower": F.floor((F.col("of") + 1) / 2), "upper": F.floor(F.col("of") / 2) + 1}
+    before = F.col("upto") - F.col("held")
+    middle = classes.withColumns(ranks).where(
+        P.any_of((before < F.col(r)) & (F.col(r) <= F.col("upto")) for r in ranks)
+    ).select(*[F.col(k).alias(f"_{k}") for k in (*keys, "class")], before.alias("before"), *ranks)
+    same = P.all_of(F.col(k).eqNullSafe(F.col(f"_{k}")) for k in (*keys, "class"))
+    within = Window.partitionBy(*keys, "class").orderBy("price").rowsBetween(Window.unboundedPreceding, 0)
+    placed = classed.join(middle, same).withColumn("upto", F.col("before") + F.sum("n").over(within))
+    at = lambda r: F.max(F.when((F.col("upto") - F.col("n") < F.col(r)) & (F.col(r) <= F.col("upto")), F.col("price")))
+    medians = placed.groupBy(*keys).agg(((at("lower") + at("upper")) / 2).cast("double").alias("median_price"))
+    medians = medians.withColumnsRenamed({k: f"_{k}" for k in keys})
+    totals = per_price.groupBy(*keys).agg(
+        F.sum("n").alias("item_count"),
+        F.sum(F.when(F.col("price").isNotNull(), F.col("n")).otherwise(0)).alias("priced"),
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        F.sum(F.col("price") * F.col("n").cast("decimal(13,0)")).cast(TOTAL).alias("total_price"),
+    )
+    joined = totals.join(medians, P.all_of(F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys), "left")
+    return joined.withColumn("avg_price", _average()).drop("priced", *[f"_{k}" for k in keys])
+
+
 def _report(df: DataFrame, *lead: str) -> DataFrame:
     """Common column set and order of all integrated reports; absent ones are typed NULLs."""
     kinds = {"model": "string", "condition": "string", "currency": "string", "median_price": "double"}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soldscope.operators import predicates as P
-from soldscope.operators.catalogue import TOTAL, price_metrics, price_metrics_with_median
+from soldscope.operators.catalogue import TOTAL, price_metrics, price_metrics_wide
 from soldscope.operators.projections import NO_LABEL, average
 
 
@@ -18,7 +18,7 @@ def model_price_trend(sold: DataFrame, start: date, end: date, keyword: str) ->
     Rows group on the raw currency, so NULL and a literal dash stay two rows.
     """
     rows = sold.where(P.in_range(start, end) & P.title_contains(keyword) & P.has_price())
-    out = price_metrics_with_median(rows, ("snapshot_date", "currency"))
+    out = price_metrics_wide(rows, ("snapshot_date", "currency"))
     return out.orderBy("snapshot_date", F.col("currency").asc_nulls_last()).select(
         "snapshot_date",
         F.coalesce("currency", F.lit(NO_LABEL)).alias("currency"),

@@ -49,11 +49,12 @@ def sold(spark):
     return spark.createDataFrame(rows, SCHEMA).cache()
 
 
-def test_median_against_brute_force(spark):
+@pytest.mark.parametrize("metrics", [catalogue.price_metrics_with_median, catalogue.price_metrics_wide])
+def test_median_against_brute_force(spark, metrics):
     rows = [(k, None if i % 11 == 0 else (i * i * 37 % 100003) / 100) for k in "abc" for i in range(ord(k) - 96, 400, ord(k) - 95)]
     rows += [("hot", float(i % 7)) for i in range(999)] + [("none", None)]
     df = spark.createDataFrame(rows, "k string, price double").withColumn("price", F.col("price").cast("decimal(18,2)"))
-    out = {r.k: r for r in catalogue.price_metrics_with_median(df, ["k"]).collect()}
+    out = {r.k: r for r in metrics(df, ["k"]).collect()}
     for k in {r[0] for r in rows}:
         prices = [p for key, p in rows if key == k and p is not None]
         assert out[k].item_count == sum(1 for key, _ in rows if key == k)
