@@ -3,6 +3,9 @@
 import re
 
 import corpus_pipeline
+import public_tokenizers
+from tokenizers import Tokenizer
+
 from soldscope.llm.common import table
 
 SMALL = "/root/testdata/sf0.001"
@@ -37,4 +40,6 @@ def test_stages_on_odd_rows(spark, odd, nothing):
         for name, stage in corpus_pipeline.STAGES[1:4]:
             found = stage(spark, docs, SMALL)
             assert found.columns == docs.columns and found.count() <= docs.count()
-        assert corpus_pipeline.STAGES[4][1](spark, docs, SMALL).count() == docs.count() + (docs.count() and 2 * 58)
+        whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+        sizes = [len(whole.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in docs.collect()]
+        assert corpus_pipeline.STAGES[4][1](spark, docs, SMALL).count() == sum(-(-n // 2048) for n in sizes)
