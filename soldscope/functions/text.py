@@ -137,9 +137,16 @@ def _fold(text: Column, extra: tuple[tuple[str, str], ...]) -> Column:
     source, target, usual, rare = _fold_table()
     holds = lambda t, pairs: t.rlike(f"[^\\x00-\\x7f&&[{''.join(a for a, _ in pairs)}]]")
     usual = usual + extra
+    table = [{"a": a, "b": b} for a, b in usual]
+
+    def replaced(t: Column) -> Column:
+        pairs = constant(table, "array<struct<a:string,b:string>>")
+        return F.aggregate(pairs, t, lambda acc, p: F.replace(acc, p["a"], p["b"]))
 
     def folded(t: Column) -> Column:
-        wide = let(F.when(holds(t, rare), _expanded(t, rare)).otherwise(t), lambda w: F.when(holds(w, usual), _expanded(w, usual)).otherwise(w))
+        # a few ranges rule most texts out before the long class is tried
+        unusual = t.rlike(r"[^\x00-\u024f\u2000-\u218f\ufb00-\ufb06]")
+        wide = let(F.when(unusual & holds(t, rare), _expanded(t, rare)).otherwise(t), lambda w: F.when(holds(w, usual), replaced(w)).otherwise(w))
         return F.when(t.rlike(BEYOND_ASCII), F.translate(wide, source, target)).otherwise(t)
 
     return let(text, folded)

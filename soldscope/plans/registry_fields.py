@@ -60,7 +60,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     counted = sold(spark, sf_dir, "condition").groupBy("condition").agg(F.count("*").alias("row_count"))
-    return condition.with_grade(counted, "condition", "grade").select("condition", "grade", "row_count")
+    return condition.with_grade_of_groups(counted, "condition", "grade").select("condition", "grade", "row_count")
 
 
 @register(
@@ -71,7 +71,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rows = sold(spark, sf_dir, "condition").select(F.expr("left(condition, length(condition) - 1)").alias("wording"))
     counted = rows.groupBy("wording").agg(F.count("*").alias("row_count"))
-    return condition.with_grade(counted, "wording", "grade").select("wording", "grade", "row_count")
+    return condition.with_grade_of_groups(counted, "wording", "grade").select("wording", "grade", "row_count")
 
 
 @register(
@@ -355,7 +355,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rows = sold(spark, sf_dir, "shop", "condition", "color", "currency")
     rows = rows.groupBy("shop", "condition", "color", "currency").agg(F.count("*").alias("n"))
-    rows = condition.with_grade(rows, "condition", "grade").withColumn("canonical", color.normalize_color("color"))
+    rows = condition.with_grade_of_groups(rows, "condition", "grade").withColumn("canonical", color.normalize_color("color"))
     changed = updates.changed_fields(
         {
             "condition": (F.col("condition"), F.col("grade")),

@@ -157,5 +157,5 @@ WORDINGS = (
 )
 def _(spark, sf_dir):
     rows = sold(spark, sf_dir, "id").select(F.expr(WORDINGS).alias("wording")).groupBy("wording").agg(F.count("*").alias("row_count"))
-    graded = condition.with_grade(rows, "wording", "grade")
+    graded = condition.with_grade_of_groups(rows, "wording", "grade")
     return graded.select("grade", condition.normalize_condition("wording").alias("cleaned"), "row_count")
