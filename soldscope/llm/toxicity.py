@@ -2,33 +2,36 @@
 
 A bounded sample of labelled rows (at most ``EXAMPLES`` a class, those with the smallest hash of the
 id) is the set of examples, equal texts once. Terms are lower-case words and, for inflected words, their
-beginnings of ``STEMS`` letters. Those that tell the classes apart are kept: of the terms in three
-examples or more all with a chi-square of at least ``LEAST_CHI`` and ``CHI_SHARE`` of the greatest, in
-any case the ``LEAST_TERMS`` strongest, at most ``MOST_TERMS``. Document frequencies of these terms
-count all documents.
-
-Examples lie in blocks; for each term the index keeps the greatest weight in each block. A text's
-blocks are read in order of the bound that these give until no unread block can reach the kth
-similarity, so the neighbours are exact. Votes weighted by similarity pass through a logistic curve
+beginnings of ``STEMS`` letters. Every term of the examples is kept, however rare; document frequencies
+count all documents. Weights are (1 + ln of the times) * ln((documents + 1) / (frequency + 1)). A term
+that no example holds cannot bring a text nearer to one; lengths are taken over the examples' terms.
+
+Examples lie in blocks; for each term the index keeps its postings and their greatest weight in each
+block. What the terms of more than ``COMMON`` of the examples add is worked out for all examples, many
+texts at a time. Of a text's blocks the ``FIRST`` by the bound that this and the greatest weights give are
+read, then all that can still reach the kth similarity, so the neighbours are exact. Votes weighted by similarity pass through a logistic curve
 fitted on the examples themselves, each without its own vote.
 
-Defined results: null and empty texts and texts without any of the terms have no neighbours and the
+Defined results: null and empty texts and texts without any of the examples' terms have no neighbours and the
 vote 0; ties go to the example with the smaller id; rows with null labels or ids are not learned from;
-ids repeated in the labels count once (the greatest label); with labels of one class only, or none,
+ids repeated in the labels count once (the greatest label), in the documents as well (the greatest text);
+with labels of one class only, or none,
 every score is that class's share (0.5 if there is none); further columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
-from collections.abc import Container, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soldscope.llm.common import fit_logistic, labelled_sample, rows_of
@@ -36,29 +39,81 @@ from soldscope.llm.common import fit_logistic, labelled_sample, rows_of
 EXAMPLES = 1000
 NEIGHBOURS = 40
 STEMS = (4, 5, 6)
-LEAST_CHI = 16.0
-CHI_SHARE = 0.05
-LEAST_TERMS = 8
-MOST_TERMS = 4096
-IDF_POWER = 2.0
 BLOCK = 64
+FIRST = 8
+COMMON = 1 / 16
+TEXTS = 64  # scored at a time
+WORDS_HELD = 1 << 18
 _WORDS = regex.compile(r"\p{L}+")
+_ASCII_WORDS = re.compile("[a-z]+")
 
 
 def words(text: str) -> list[str]:
-    return _WORDS.findall(text.lower())
+    text = text.lower()
+    return (_ASCII_WORDS if text.isascii() else _WORDS).findall(text)
 
 
-def known_terms(text: str, known: Container[str]) -> Counter:
-    """How often each known term occurs: whole words, and beginnings (marked ``*``) of longer ones."""
-    out: Counter = Counter()
-    for word, n in Counter(words(text)).items():
-        if word in known:
-            out[word] += n
-        for size in STEMS:
-            if len(word) > size and (stem := word[:size] + "*") in known:
-                out[stem] += n
-    return out
+def terms_of(word: str) -> list[str]:
+    """The word, and the beginnings (marked ``*``) if it is longer."""
+    return [word, *(word[:size] + "*" for size in STEMS if len(word) > size)]
+
+
+class TermCounter:
+    """Numbers of a text's known terms and how often each occurs; the numbers of words met before are held."""
+
+    def __init__(self, terms: dict[str, int]) -> None:
+        self.terms = terms
+        self.held: dict[str, tuple[int, ...]] = {}
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        met = Counter(words(text))
+        if len(self.held) > WORDS_HELD:
+            self.held.clear()
+        for word in met:
+            if word not in self.held:
+                self.held[word] = tuple([self.terms[t] for t in terms_of(word) if t in self.terms])
+        found = [self.held[word] for word in met]
+        times = np.repeat(np.array([*met.values()], int), [len(f) for f in found])
+        rows, at = np.unique(np.array([*chain.from_iterable(found)], int), return_inverse=True)
+        return rows, np.bincount(at, times, len(rows))
+
+
+def ranges(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges [first, end), one range after another."""
+    long = end - first
+    return np.repeat(first - np.cumsum(long) + long, long) + np.arange(long.sum())
+
+
+class Postings:
+    """Sparse weights, terms x examples. A term's postings lie in cells, one for each block that holds it."""
+
+    def __init__(self, term: np.ndarray, place: np.ndarray, weight: np.ndarray, shape: tuple[int, int]) -> None:
+        self.shape = shape
+        order = np.lexsort((place, term))
+        term, self.place, self.weight = term[order], place[order], weight[order]
+        block = self.place // BLOCK
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        begun = np.flatnonzero(new)
+        self.edges = np.append(begun, len(term))  # of the cells, in the postings
+        self.block = block[begun]
+        self.peak = np.maximum.reduceat(self.weight, begun) if len(begun) else np.empty(0)
+        self.starts = np.searchsorted(term[begun], np.arange(shape[0] + 1))  # of the terms, in the cells
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        """The rows of these terms, zeros filled in."""
+        out = np.zeros((len(rows), self.shape[1]))
+        for i, row in enumerate(rows):
+            at = slice(self.edges[self.starts[row]], self.edges[self.starts[row + 1]])
+            out[i, self.place[at]] = self.weight[at]
+        return out
+
+
+def unit_vector(rows: np.ndarray, times: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of a text and their weights, of unit length."""
+    w = (1 + np.log(times)) * idf[rows]
+    norm = np.linalg.norm(w)
+    return (rows, w / norm) if norm else (np.empty(0, int), np.empty(0))
 
 
 @dataclass
@@ -69,39 +124,64 @@ class BlockIndex:
     idf: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
-    weights: np.ndarray  # terms x examples
-    peaks: np.ndarray = field(init=False)  # terms x blocks
+    weights: np.ndarray | Postings  # terms x examples, in the order of ids; held as postings
+    common: np.ndarray = field(init=False)  # each common term's row in dense, else -1
+    dense: np.ndarray = field(init=False)  # common terms x examples
 
     def __post_init__(self) -> None:
-        order = np.argsort(self.ids, kind="stable")
-        self.ids, self.toxic, self.weights = self.ids[order], self.toxic[order], self.weights[:, order]
-        edges = np.arange(0, max(1, len(self.ids)), BLOCK)
-        self.peaks = np.maximum.reduceat(self.weights, edges, axis=1) if len(self.ids) else np.zeros((len(self.terms), 1))
-
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Terms of a text that the index knows and their weights, of unit length."""
-        known = [(self.terms[w], n) for w, n in counts.items()]
-        if not known:
-            return np.empty(0, int), np.empty(0)
-        rows = np.array([i for i, _ in known])
-        w = (1 + np.log([n for _, n in known])) * self.idf[rows]
-        norm = np.linalg.norm(w)
-        return (rows, w / norm) if norm else (np.empty(0, int), np.empty(0))
-
-    def nearest(self, rows: np.ndarray, w: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        if not isinstance(self.weights, Postings):
+            order = np.argsort(self.ids, kind="stable")
+            self.ids, self.toxic, dense = self.ids[order], self.toxic[order], self.weights[:, order]
+            self.weights = Postings(*np.nonzero(dense), dense[np.nonzero(dense)], dense.shape)
+        met = np.diff(self.weights.edges[self.weights.starts])
+        rows = np.flatnonzero(met > COMMON * len(self.ids))
+        self.common = np.full(len(met), -1)
+        self.common[rows] = np.arange(len(rows))
+        self.dense = self.weights[rows]
+
+    def shares(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the common terms add to the similarities, texts x examples."""
+        asked = np.zeros((len(vectors), len(self.dense)))
+        for i, (rows, w) in enumerate(vectors):
+            at = self.common[rows]
+            asked[i, at[at >= 0]] = w[at >= 0]
+        return asked @ self.dense
+
+    def nearest(
+        self, rows: np.ndarray, w: np.ndarray, k: int, but: int | None = None, share: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Examples (their places) with the k greatest similarities above 0, and the similarities."""
-        if not len(rows):
-            return np.empty(0, int), np.empty(0)
-        bound = w @ self.peaks[rows] + 1e-9
         places, found = np.empty(0, int), np.empty(0)
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 1e-9 or (len(found) == k and bound[block] < found[-1]):
+        if not len(rows):
+            return places, found
+        if share is None:
+            share = self.shares([(rows, w)])[0]
+        held, rare = self.weights, self.common[rows] < 0
+        first, end = held.starts[rows[rare]], held.starts[rows[rare] + 1]
+        cells, w = ranges(first, end), np.repeat(w[rare], end - first)
+        block, blocks = held.block[cells], np.arange(0, len(self.ids), BLOCK)
+        bound = np.bincount(block, w * held.peak[cells], len(blocks)) + np.maximum.reduceat(share, blocks) + 1e-9
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 1e-9]
+        for part in (order[:FIRST], order[FIRST:]):
+            if len(found) == k:
+                part = part[bound[part] >= found[-1]]
+            if not len(part):
                 break
-            here = np.arange(block * BLOCK, min((block + 1) * BLOCK, len(self.ids)))
+            chosen = np.zeros(len(bound), bool)
+            chosen[part] = True
+            read = chosen[block]
+            first, end = held.edges[cells[read]], held.edges[cells[read] + 1]
+            at = ranges(first, end)
+            score = np.bincount(held.place[at], np.repeat(w[read], end - first) * held.weight[at], len(self.ids))
+            score = np.where(np.repeat(chosen, BLOCK)[: len(score)], score + share, 0)
             if but is not None:
-                here = here[self.ids[here] != but]
-            score = w @ self.weights[np.ix_(rows, here)]
-            places, found = np.concatenate([places, here[score > 0]]), np.concatenate([found, score[score > 0]])
+                score[self.ids == but] = 0
+            here = np.flatnonzero(score > 0)
+            places, found = np.concatenate([places, here]), np.concatenate([found, score[here]])
+            if len(found) > k:
+                good = found >= np.partition(found, -k)[-k]
+                places, found = places[good], found[good]
             best = np.lexsort((places, -found))[:k]
             places, found = places[best], found[best]
         return places, found
@@ -123,75 +203,47 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * votes + self.intercept, -500, 500)))
 
 
-def telling_terms(examples: DataFrame, sizes: dict[int, int]) -> list[str]:
-    """Terms whose share differs between the classes, strongest first; counted in Spark."""
-    share = sizes[1] / (sizes[0] + sizes[1])
-    all_words = F.array_distinct(F.expr("regexp_extract_all(lower(text), '\\\\p{L}+', 0)"))
-    stems = [F.transform(F.filter(all_words, lambda w: F.length(w) > s), lambda w: F.concat(F.substring(w, 1, s), F.lit("*"))) for s in STEMS]
-    met = examples.select("y", F.explode(F.array_distinct(F.concat(all_words, *stems))).alias("term"))
-    counted = met.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("bad")).where("n >= 3")
-    chi = F.pow(F.col("bad") - share * F.col("n"), 2) / (share * (1 - share) * F.col("n"))
-    top = counted.withColumn("chi", chi).orderBy(F.desc("chi"), "term").limit(MOST_TERMS).collect()
-    return [r.term for i, r in enumerate(top) if i < LEAST_TERMS or r.chi >= max(LEAST_CHI, CHI_SHARE * top[0].chi)]
-
-
-def term_counts(texts: DataFrame, columns: list[str], terms: list[str]) -> DataFrame:
-    """``columns`` and, for each text, the terms met and how often."""
-    known = set(terms)
-    schema = ", ".join([*(f"{c} {dict(texts.dtypes)[c]}" for c in columns), "terms array<string>, times array<int>"])
+def document_frequencies(docs: DataFrame, terms: dict[str, int], text_col: str = "text") -> tuple[int, np.ndarray]:
+    """Number of documents, and of those with each of the numbered terms, over all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            met = [known_terms(t, known) for t in batch["text"].to_pylist()]
-            yield pa.record_batch(
-                {
-                    **{c: batch[c] for c in columns},
-                    "terms": pa.array([list(m) for m in met], pa.list_(pa.string())),
-                    "times": pa.array([list(m.values()) for m in met], pa.list_(pa.int32())),
-                }
-            )
-
-    return texts.mapInArrow(run, schema)
-
-
-def document_frequencies(docs: DataFrame, terms: list[str], text_col: str = "text") -> tuple[int, dict[str, int]]:
-    """Number of documents, and of those with each term, over all documents."""
-    known = set(terms)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, met = 0, Counter()
+        counter, n, met = TermCounter(shared.value), 0, np.zeros(len(shared.value), int)
         for batch in batches:
             for text in batch["text"].to_pylist():
                 n += 1
-                met.update(known_terms(text, known).keys())
-        yield pa.record_batch({"term": pa.array([None, *met], pa.string()), "n": pa.array([n, *met.values()], pa.int64())})
+                met[counter(text)[0]] += 1
+        at = np.flatnonzero(met)
+        yield pa.record_batch({"term": pa.array([-1, *at.tolist()], pa.int32()), "n": pa.array([n, *met[at].tolist()], pa.int64())})
 
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # MOST_TERMS + 1
-    found = {r.term: r.n for r in rows}
-    return found.pop(None, 0), found
+    rows = texts.mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # the examples' terms + 1
+    out = np.zeros(len(terms) + 1, int)  # the last one counts the documents
+    for r in rows:
+        out[r.term] = r.n
+    return int(out[-1]), out[:-1]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", examples: int = EXAMPLES, k: int = NEIGHBOURS) -> ToxicityModel:
     sample, total = labelled_sample(docs, labels, label_col, examples)
-    # of copies of one text only one example, else a copied text would make its words telling
+    # of copies of one text only one example, else they would be each other's nearest; of rows that share an id one too
     sample = sample.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y"))
+    sample = sample.groupBy("doc_id").agg(F.max(F.struct("text", "y")).alias("row")).select("doc_id", "row.*")
     if not total.get(0) or not total.get(1):
         return ToxicityModel(None, constant=0.5 if not any(total.values()) else float(bool(total.get(1))))
-    sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(sizes) < 2:
+    rows = sample.orderBy("doc_id").collect()  # at most 2 * examples
+    if len({r.y for r in rows}) < 2:
         return ToxicityModel(None, constant=total[1] / (total[0] + total[1]))
-    terms = telling_terms(sample, sizes)
+    ids = [r.doc_id for r in rows]
+    terms = {t: i for i, t in enumerate(sorted({t for r in rows for word in set(words(r.text)) for t in terms_of(word)}))}
     n, df = document_frequencies(docs, terms)
-    idf = np.array([math.log((n + 1) / (df.get(t, 0) + 1)) ** IDF_POWER for t in terms])
-    # the terms' counts of at most 2 * examples rows; rows that share an id count once
-    rows = {r.doc_id: r for r in term_counts(sample, ["doc_id", "y"], terms).orderBy("doc_id", "terms").collect()}
-    ids = sorted(rows)
-    index = BlockIndex({t: i for i, t in enumerate(terms)}, idf, np.array(ids), np.array([rows[i].y for i in ids], float), np.zeros((len(terms), len(ids))))
-    vectors = [index.vector(Counter(dict(zip(rows[i].terms, rows[i].times)))) for i in ids]
-    for j, (at, w) in enumerate(vectors):
-        index.weights[at, j] = w
-    index.__post_init__()
+    idf = np.log((n + 1) / (df + 1))
+    counter = TermCounter(terms)
+    vectors = [unit_vector(*counter(r.text), idf) for r in rows]
+    at, w = (np.concatenate(parts) for parts in zip(*vectors))
+    places = np.repeat(np.arange(len(ids)), [len(at) for at, _ in vectors])
+    postings = Postings(at[w > 0], places[w > 0], w[w > 0], (len(terms), len(ids)))
+    index = BlockIndex(terms, idf, np.array(ids), np.array([r.y for r in rows], float), postings)
     votes = np.array([index.vote(*index.nearest(at, w, k, but=i)) for i, (at, w) in zip(ids, vectors)])
     y = index.toxic
     slope, intercept = fit_logistic(votes, y)
@@ -204,21 +256,24 @@ def toxicity_scores(
     docs: DataFrame, model: ToxicityModel, k: int = NEIGHBOURS, id_col: str = "doc_id", text_col: str = "text", shown: int = 3
 ) -> DataFrame:
     """doc_id, vote, score, and as evidence the ``shown`` nearest examples and their similarities."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 * EXAMPLES rows, MOST_TERMS terms at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the terms of 2 * EXAMPLES rows at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
+        counter = TermCounter(held.index.terms) if held.index else None
         for batch in batches:
             votes, near, how = [], [], []
-            for text in batch["text"].to_pylist():
-                places, similarity = np.empty(0, int), np.empty(0)
-                if held.index:
-                    places, similarity = held.index.nearest(*held.index.vector(known_terms(text, held.index.terms)), k)
+            for begun in range(0, batch.num_rows, TEXTS):
+                texts = batch["text"].slice(begun, TEXTS).to_pylist()
+                if not counter:
+                    votes, near, how = votes + [0.0] * len(texts), near + [[]] * len(texts), how + [[]] * len(texts)
+                    continue
+                vectors = [unit_vector(*counter(text), held.index.idf) for text in texts]
+                for vector, share in zip(vectors, held.index.shares(vectors)):
+                    places, similarity = held.index.nearest(*vector, k, share=share)
+                    votes.append(held.index.vote(places, similarity))
                     near.append(held.index.ids[places[:shown]].tolist())
-                else:
-                    near.append([])
-                votes.append(held.index.vote(places, similarity) if held.index else 0.0)
-                how.append(similarity[:shown].tolist())
+                    how.append(similarity[:shown].tolist())
             votes = np.array(votes, float)
             yield pa.record_batch(
                 {

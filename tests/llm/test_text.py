@@ -230,6 +230,39 @@ def test_neighbours_are_exact():
         assert places.tolist() == best.tolist() and np.allclose(similarity, whole[best])
 
 
+def test_rare_terms_bring_neighbours(spark):
+    """A term of two examples counts as any other; similarities are those of dense TF-IDF over all terms."""
+    common = [f"{'abcde'[i % 5]}{'fghij'[i // 5 % 5]}{'klmno'[i // 25 % 5]}" for i in range(125)]
+    texts = [" ".join(common[(7 * i + 3 * j) % 125] for j in range(9)) + (" vilest" if i < 200 else " kindest") for i in range(400)]
+    texts[3] += " qzxw qzxw"
+    texts[150] += " qzxw"
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000, "qzxw"), (1001, "nothing of these")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 200)) for i in range(400)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity_scores(docs, toxicity.fit(docs, labels)).collect()}
+    assert sorted(got[1000].examples) == [3, 150] and got[1000].vote == 1
+    assert got[1001].examples == [] and got[1001].vote == 0
+
+    # the same by hand, every term kept
+    def counted(text):
+        return Counter(t for word in text.split() for t in [word, *(word[:n] + "*" for n in (4, 5, 6) if len(word) > n)])
+
+    known = {t for text in texts for t in counted(text)}
+    df = Counter(t for _, text in rows for t in counted(text))
+
+    def vector(text):
+        w = {t: (1 + math.log(n)) * math.log((len(rows) + 1) / (df[t] + 1)) for t, n in counted(text).items() if t in known}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        return {t: x / norm for t, x in w.items()}
+
+    held = [vector(t) for t in set(texts)]  # equal texts are one example
+    for asked in (0, 77, 250, 1000):
+        w = vector(dict(rows)[asked])
+        want = sorted((sum(x * v.get(t, 0) for t, x in w.items()) for v in held), reverse=True)
+        near = got[asked].similarities
+        assert np.allclose(near, [x for x in want[:3] if x > 0])
+
+
 # ---- language model
 
 
