@@ -80,12 +80,17 @@ def _file_columns() -> list[Column]:
 
 
 def csv_width(spark: SparkSession, paths: list[str] | str) -> int:
-    """Cells that a header line can hold: separators of the widest line that names an id, plus one.
+    """Cells that a header row can hold: separators of the widest record that names an id, plus one.
 
-    Cells to the right of the header have no name, so the header line alone sets the width.
+    Cells to the right of the header have no name, so the header alone sets the width. The reader hands a
+    record of more cells than the schema over as a whole, with the line breaks in its cells. Separators
+    inside quotes count too: the width is a bound.
     """
-    lines = _reader(spark, "csv").text(paths).where(F.lower("value").contains(ID_HEADER))
-    return lines.agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+    raw = T.StructType([T.StructField("c0", T.StringType()), T.StructField("_record", T.StringType())])
+    rows = _reader(spark, "csv").options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord="_record").schema(raw).csv(paths)
+    record = F.coalesce("_record", "c0")
+    widest = rows.where(F.lower(record).contains(ID_HEADER)).agg(F.max(F.size(F.split(record, ","))))
+    return widest.first()[0] or 1
 
 
 def read_csv(spark: SparkSession, paths: list[str] | str) -> DataFrame:

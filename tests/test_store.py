@@ -203,6 +203,17 @@ def test_wide_and_multi_line_csv(spark, tmp_path):
     assert [(r.file_name, r.rows) for r in lost] == [("2026年05月02日-f.csv", 2)]
 
 
+def test_line_break_in_a_header_cell(spark, tmp_path):
+    folder = tmp_path / "F"
+    folder.mkdir()
+    text = 'ID,品牌,"备注\n(内部)",卖出价格,颜色\na1,Acme,x,120,red\na2,Acme,"y\nz",130,blue\n'
+    (folder / "2026年05月01日-f.csv").write_text(text, encoding="utf-8")
+    assert landing.csv_width(spark, str(tmp_path)) == 5
+    rows = {r.item_id: r for r in landing.records(landing.read_cells(spark, str(tmp_path))).collect()}
+    assert {k: (r.price, r.color) for k, r in rows.items()} == {"a1": (120, "red"), "a2": (130, "blue")}
+    assert landing.files_without_header(spark, str(tmp_path)).count() == 0
+
+
 def test_only_touched_partitions_are_written(spark, tmp_path):
     from datetime import date
 
