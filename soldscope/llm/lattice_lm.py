@@ -32,7 +32,6 @@ from soldscope.llm.common import mixed, rows_of, saved
 SHARED_WORDS = 200_000
 _HELD_WORDS = 400_000  # distinct words that a task holds before it hands its counts on
 PIECE_PRIOR = 0.01
-LONGEST = 24  # bytes of a piece
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LN10 = math.log(10)
 
@@ -45,7 +44,7 @@ class Lattice:
     """Log10 probability of a word over all its segmentations."""
 
     def __init__(self, pieces: list[bytes], log10: np.ndarray):
-        usable = [i for i, p in enumerate(pieces) if len(p) <= LONGEST and p.split() and not any(c in p[1:] for c in b" \t\n\r\x0b\x0c")]
+        usable = [i for i, p in enumerate(pieces) if p.split() and not any(c in p[1:] for c in b" \t\n\r\x0b\x0c")]
         usable += [i for i, p in enumerate(pieces) if p == b" "]
         self.known = {pieces[i]: float(log10[i]) for i in usable}
         self.longest = max(map(len, self.known), default=1)

@@ -281,6 +281,13 @@ def test_lattice_sums_all_segmentations():
     assert lattice.words(words)[4] == pytest.approx(lattice.one(words[4]))
 
 
+def test_lattice_takes_long_pieces():
+    lattice = lattice_lm.Lattice([b" ", b"-", b"-" * 32, b" " + b"=" * 64], np.log10([0.1, 0.2, 0.3, 0.4]))
+    both, dashes, equals = b"-" * 32, b"-" * 70, b"=" * 64
+    want = [math.log10(0.1 * (0.3 + 0.2**32)), math.log10(0.1 * (0.2**70 + 39 * 0.3 * 0.2**38 + 28 * 0.3**2 * 0.2**6)), math.log10(0.4)]
+    assert np.allclose(lattice.words([both, dashes, equals]), want)
+
+
 @pytest.mark.parametrize("shared_words", [5, 100_000])
 def test_language_model_counts(spark, odd, nothing, shared_words):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
