@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -80,3 +81,11 @@ def reliable_checkpoint(spark: SparkSession, df):
     if not context.getCheckpointDir():
         context.setCheckpointDir(checkpoint_root(spark))
     return df.checkpoint()
+
+
+def written(df, name: str):
+    """``df`` as a table in the shared checkpoint folder, read back with its columns prunable."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
