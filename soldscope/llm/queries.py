@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from soldscope.llm import bpe, exact_dedup, jaccard_join, lattice_lm, packing, quality, secrets, suffix_dedup, toxicity, vector_topk
+from soldscope.llm import (
+    bpe, exact_dedup, fim, jaccard_join, lattice_lm, packing, quality, resample, secrets, suffix_dedup, toxicity, vector_topk, warc,
+)
 from soldscope.llm.common import id_remainder, table
 
 LEAST_QUALITY = 0.3
@@ -160,6 +162,89 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+
+
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# CRC-32 of a word: the 256 remainders of single bytes, then one step a byte
+OP11_SQL = """
+WITH bytes AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b] || range(8),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS r),
+small AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+aim AS (SELECT translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark),
+d AS (SELECT doc_id, row_number() OVER () AS i, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM small),
+sw AS (SELECT i, unnest(w) AS w FROM d),
+tw AS (SELECT unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM aim),
+v AS (SELECT DISTINCT w FROM (SELECT w FROM sw UNION ALL SELECT w FROM tw)),
+h AS (SELECT w, hex(encode(w)) AS x, (SELECT r FROM bytes) AS r FROM v),
+b AS (SELECT w, xor(list_reduce([4294967295] || list_transform(range(len(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT),
+         lambda c, y: xor(c >> 8, r[(xor(c, y) & 255) + 1])), 4294967295) % 10000 AS b FROM h),
+s AS (SELECT b, count(*) AS s FROM sw JOIN b USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM tw JOIN b USING (w) GROUP BY b),
+n AS (SELECT (SELECT count(*) FROM sw) AS sn, (SELECT count(*) FROM tw) AS tn),
+g AS (SELECT s.b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (sn + 10000) / ((s + 1)::DOUBLE * (tn + 10000))))::BIGINT AS g
+      FROM s LEFT JOIN t ON s.b = t.b CROSS JOIN n),
+f AS (SELECT i, count(*) AS n, sum(g)::BIGINT AS g FROM sw JOIN b USING (w) JOIN g USING (b) GROUP BY i),
+w AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(floor(g::DOUBLE / n), 0)::BIGINT AS weight,
+             ('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h
+      FROM d LEFT JOIN f USING (i)),
+z AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM w),
+r AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS r,
+             (SELECT count(*) FROM z WHERE n_features >= 20) * 10 // 100 AS k FROM z)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= k THEN r END AS rank FROM r"""
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archive(table(spark, sf_dir, "pages"))
+    found = warc.read_archive(index, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# base32: five hexadecimal digits are four letters
+OP12_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, h, min(page_id) OVER (PARTITION BY h) AS first, sha1(h) AS x FROM p)
+SELECT page_id, strlen(h) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((('0x' || x[5 * (i // 4) + 1:5 * (i // 4) + 5])::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1]), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM g"""
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS w, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+             ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, len(w) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(w[:a], '') AS p, array_to_string(w[a + 1:b], '') AS m, array_to_string(w[b + 1:], '') AS s FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
@@ -171,5 +256,15 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_resample": op11_resample,
+    "op12_warc": op12_warc,
+    "op13_fill_in_middle": op13_fill_in_middle,
+}
+ORACLES = {
+    "op2_secrets": OP2_SQL,
+    "op7_vector_topk": OP7_SQL,
+    "op9_exact_dedup": OP9_SQL,
+    "op11_resample": OP11_SQL,
+    "op12_warc": OP12_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }
-ORACLES = {"op2_secrets": OP2_SQL, "op7_vector_topk": OP7_SQL, "op9_exact_dedup": OP9_SQL}
