@@ -10,11 +10,13 @@ stretches of one key can hold equal strings.
    transform in runs, with text positions kept at run ends only. Between run ends the longest match
    with a neighbour falls by one a byte, so a pass over the kept positions gives every place where a
    string of ``length`` bytes starts a second time (matching statistics against all other places).
-4. Keys with more than ``group_rows`` different stretches are not gathered in one task. Their strings
-   are compared by digest one by one, in a distributed count.
+4. Keys whose different stretches hold more than ``group_bytes`` bytes are not gathered in one task. Their
+   strings are compared by digest one by one, in a distributed count.
+
+Every row gets a number, written with its text, and all steps know it by that number alone.
 
 Defined results: a null text counts as empty; texts shorter than ``length`` lose nothing; rows with
-equal or null ids are told apart by an own row number, and equal texts remove each other; an empty
+equal or null ids are told apart by their row numbers, and equal texts remove each other; an empty
 table gives an empty result; further columns are ignored.
 """
 
@@ -34,7 +36,7 @@ from soldscope.llm.common import boundaries, groups_in_order, mixed, rows_of, sa
 
 LENGTH = 200
 GRAM = 40
-GROUP_ROWS = 8_192
+GROUP_BYTES = 2_500_000
 _INDEX_BYTES = 1_500_000  # the index takes about 80 bytes a byte
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -210,9 +212,9 @@ def repeated_in(parts: list[bytes], length: int) -> Iterator[tuple[int, int, int
 
 # ---- the steps, in Spark -----------------------------------------------------------------------------------
 
-_STRETCH = "doc_id long, tkey int, key long, digest long, first int, last int, folds boolean"
-_PART = "key long, doc_id long, tkey int, first int, once boolean, part binary"
-_SPANS = "doc_id long, tkey int, first int, last int"
+_STRETCH = "row long, key long, digest long, first int, last int, folds boolean"
+_PART = "key long, row long, first int, once boolean, part binary"
+_SPANS = "row long, first int, last int"
 
 
 def _stretches(texts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -220,14 +222,14 @@ def _stretches(texts: DataFrame, length: int, gram: int) -> DataFrame:
         roller = Roller()
         for batch in batches:
             held = []
-            for doc_id, tkey, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "tkey", "text"))):
+            for row, text in zip(*(batch[c].to_pylist() for c in ("row", "text"))):
                 raw = text.encode()
                 if len(raw) < length:
                     continue
                 key, first, last, folds = stretches(np.frombuffer(raw, np.uint8), roller, length, gram)
                 digest = [xxhash.xxh3_64_intdigest(raw[i:j]) for i, j in zip(first.tolist(), (last + length).tolist())]
-                held.append((doc_id, tkey, key, np.array(digest, np.uint64), first, last, folds))
-                if sum(len(h[2]) for h in held) > 100_000:
+                held.append((row, key, np.array(digest, np.uint64), first, last, folds))
+                if sum(len(h[1]) for h in held) > 100_000:
                     yield _stretch_batch(held)
                     held = []
             if held:
@@ -237,19 +239,17 @@ def _stretches(texts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _stretch_batch(held: list[tuple]) -> pa.RecordBatch:
-    times = [len(h[2]) for h in held]
-    ids = pa.array([h[0] for h in held], pa.int64()).take(pa.array(np.repeat(np.arange(len(held)), times)))
+    times = [len(h[1]) for h in held]
     return pa.record_batch(
         [
-            ids,
-            pa.array(np.repeat(np.array([h[1] for h in held], np.int32), times)),
+            pa.array(np.repeat(np.array([h[0] for h in held], np.int64), times)),
+            pa.array(np.concatenate([h[1] for h in held]).view(np.int64)),
             pa.array(np.concatenate([h[2] for h in held]).view(np.int64)),
-            pa.array(np.concatenate([h[3] for h in held]).view(np.int64)),
+            pa.array(np.concatenate([h[3] for h in held]).astype(np.int32)),
             pa.array(np.concatenate([h[4] for h in held]).astype(np.int32)),
-            pa.array(np.concatenate([h[5] for h in held]).astype(np.int32)),
-            pa.array(np.concatenate([h[6] for h in held])),
+            pa.array(np.concatenate([h[5] for h in held])),
         ],
-        names=["doc_id", "tkey", "key", "digest", "first", "last", "folds"],
+        names=["row", "key", "digest", "first", "last", "folds"],
     )
 
 
@@ -259,29 +259,24 @@ def _parts(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, tkey, text, cuts in zip(*(batch[c].to_pylist() for c in ("doc_id", "tkey", "text", "cuts"))):
+            for row, text, cuts in zip(*(batch[c].to_pylist() for c in ("row", "text", "cuts"))):
                 raw = text.encode()
-                rows += [(c["key"], doc_id, tkey, c["first"], c["once"], raw[c["first"] : c["last"] + length]) for c in cuts]
-            columns = list(zip(*rows)) or [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+                rows += [(c["key"], row, c["first"], c["once"], raw[c["first"] : c["last"] + length]) for c in cuts]
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
             yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "doc_id", "tkey", "first", "once", "part"]
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "row", "first", "once", "part"]
             )
 
-    per_text = wanted.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("key", "first", "last", "once")).alias("cuts"))
-    return _on_text(texts, per_text, "inner").select("doc_id", "tkey", "text", "cuts").mapInArrow(run, _PART)
-
-
-def _on_text(texts: DataFrame, other: DataFrame, how: str) -> DataFrame:
-    other = other.withColumnsRenamed({"doc_id": "o_id", "tkey": "o_key"})
-    same = texts["doc_id"].eqNullSafe(other["o_id"]) & texts["tkey"].eqNullSafe(other["o_key"])
-    return texts.join(other, same, how).drop("o_id", "o_key")
+    # a text's own stretches, so no list outgrows its text
+    per_text = wanted.groupBy("row").agg(F.collect_list(F.struct("key", "first", "last", "once")).alias("cuts"))
+    return texts.join(per_text, "row").select("row", "text", "cuts").mapInArrow(run, _PART)
 
 
 def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 4
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
-    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "tkey", "first", "last"])
+    columns = list(zip(*rows)) or [()] * 3
+    kinds = (pa.int64(), pa.int32(), pa.int32())
+    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["row", "first", "last"])
 
 
 def _indexed(parts: DataFrame, length: int) -> DataFrame:
@@ -290,9 +285,9 @@ def _indexed(parts: DataFrame, length: int) -> DataFrame:
     def search(tables: list[pa.Table]) -> pa.RecordBatch:
         held = pa.concat_tables(tables)
         raw, once = held["part"].to_pylist(), held["once"].to_pylist()
-        ids, tkeys, first = (held[c].to_pylist() for c in ("doc_id", "tkey", "first"))
+        of, first = (held[c].to_pylist() for c in ("row", "first"))
         found = repeated_in(raw, length)
-        return _span_batch([(ids[p], tkeys[p], first[p] + a, first[p] + b) for p, a, b in found if once[p]])
+        return _span_batch([(of[p], first[p] + a, first[p] + b) for p, a, b in found if once[p]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -318,35 +313,35 @@ def _counted(parts: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, tkey, first, once, raw in zip(*(batch[c].to_pylist() for c in ("doc_id", "tkey", "first", "once", "part"))):
+            for row, first, once, raw in zip(*(batch[c].to_pylist() for c in ("row", "first", "once", "part"))):
                 n = len(raw) - length + 1
                 digests = [hashlib.blake2b(raw[i : i + length], digest_size=16).digest() for i in range(n)]
                 yield pa.record_batch(
                     [
-                        pa.array([doc_id] * n, pa.int64()),
-                        pa.array([tkey] * n, pa.int32()),
+                        pa.array([row] * n, pa.int64()),
                         pa.array(range(first, first + n), pa.int32()),
                         pa.array([once] * n, pa.bool_()),
                         pa.array(digests, pa.binary()),
                     ],
-                    names=["doc_id", "tkey", "first", "once", "digest"],
+                    names=["row", "first", "once", "digest"],
                 )
 
-    strings = parts.mapInArrow(run, "doc_id long, tkey int, first int, once boolean, digest binary")
+    strings = parts.mapInArrow(run, "row long, first int, once boolean, digest binary")
     again = strings.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    return strings.where("once").join(again, "digest", "left_semi").select("doc_id", "tkey", "first", F.col("first").alias("last"))
+    return strings.where("once").join(again, "digest", "left_semi").select("row", "first", F.col("first").alias("last"))
 
 
 def repeated_spans(
     docs: DataFrame,
     length: int = LENGTH,
     gram: int = GRAM,
-    group_rows: int = GROUP_ROWS,
+    group_bytes: int = GROUP_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
-    """The texts (doc_id, text, tkey) and, per text, where repeated strings start: doc_id, tkey, first, last."""
-    texts = rows_of(docs, id_col, text_col).withColumn("tkey", F.hash("text"))
+    """The texts (row, doc_id, text) and, per text, where repeated strings start: row, first, last."""
+    # written once: a row's number must not change when a task runs again
+    texts = saved(rows_of(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "texts")
     found = _stretches(texts, length, gram)
     shared = found.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"),
@@ -357,16 +352,16 @@ def repeated_spans(
     mixed_rows = met.where("mixed")
     content = saved(
         mixed_rows.groupBy("key", "digest").agg(
-            (F.count(F.lit(1)) == 1).alias("once"), F.min(F.struct("doc_id", "tkey", "first", "last")).alias("at")
+            (F.count(F.lit(1)) == 1).alias("once"), F.min(F.struct("row", "first", "last")).alias("at")
         ),
         "contents",
     )
     more = content.where("not once").select("key", "digest")
-    whole = met.where("not mixed").select("doc_id", "tkey", "first", "last").unionByName(
-        mixed_rows.join(more, ["key", "digest"], "left_semi").select("doc_id", "tkey", "first", "last")
+    whole = met.where("not mixed").select("row", "first", "last").unionByName(
+        mixed_rows.join(more, ["key", "digest"], "left_semi").select("row", "first", "last")
     )
-    per_key = content.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    hot = per_key.where(F.col("n") > group_rows).select("key")
+    per_key = content.groupBy("key").agg(F.sum(F.col("at.last") - F.col("at.first") + F.lit(length).cast("long")).alias("n"))
+    hot = per_key.where(F.col("n") > group_bytes).select("key")
     wanted = content.select("key", "once", "at.*")
     if hot.isEmpty():
         spans = _indexed(_parts(texts, wanted, length), length)
@@ -394,7 +389,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_bytes: bool = Fal
     ``with_bytes`` adds the bytes that stay (they may end inside a character).
     """
     texts, spans = repeated_spans(docs, length, **options)
-    per_text = spans.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("first", "last")).alias("found"))
+    per_text = spans.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -412,5 +407,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_bytes: bool = Fal
             yield out if with_bytes else out.drop_columns(["kept"])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<int>>"
-    joined = _on_text(texts, per_text, "left").select("doc_id", "text", "found")
+    joined = texts.join(per_text, "row", "left").select("doc_id", "text", "found")
     return joined.mapInArrow(run, schema + ", kept binary" * with_bytes)
