@@ -20,8 +20,9 @@ an empty table gives an empty result; further columns are ignored by ``jaccard_g
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from math import log
+from math import ceil, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +34,46 @@ from soldscope.llm.common import boundaries, groups_in_order, mixed, rows_of, sa
 
 WORDS = 5
 THRESHOLD = 0.8
-BANDS, BAND_ROWS = 30, 5
+VALUES = 150  # MinHash values a text at most
+MISS = 7e-6  # probability that no band of a pair at the threshold agrees
 TOLERANCE = 1e-6
 STEP = 25  # values compared at a time
 TILE = 1024
-_SEEDS = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_SEEDS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+@dataclass(frozen=True)
+class Screen:
+    """How candidates are found for a threshold: bands of as many values as ``miss`` and ``VALUES`` allow."""
+
+    threshold: float = THRESHOLD
+    tolerance: float = TOLERANCE
+    miss: float = MISS
+
+    @property
+    def shape(self) -> tuple[int, int]:
+        """(bands, values in each)."""
+        return _shape(self.threshold, self.miss)
+
+    @property
+    def values(self) -> int:
+        bands, rows = self.shape
+        return bands * rows
+
+    @property
+    def steps(self) -> tuple[tuple[int, int], ...]:
+        return least_matches(self.threshold, self.tolerance, self.values)
+
+
+@lru_cache(maxsize=None)
+def _shape(threshold: float, miss: float) -> tuple[int, int]:
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold lies above 0 and is at most 1")
+    bands = lambda rows: max(1, ceil(log(miss) / log1p(-(threshold**rows)))) if threshold**rows < 1 else 1
+    fitting = [(bands(rows), rows) for rows in range(1, VALUES + 1) if bands(rows) * rows <= VALUES]
+    if not fitting:
+        raise ValueError(f"similarity {threshold} needs more than {VALUES} values a text")
+    return max(fitting, key=lambda s: s[1])
 
 
 # ---- shingles and signatures ---------------------------------------------------------------------------
@@ -66,31 +102,31 @@ class Shingler:
         return np.unique(out)
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
+def signatures(sets: list[np.ndarray], values: int) -> np.ndarray:
     """MinHash values (16 bits each) of non-empty sets."""
     flat = np.concatenate(sets)
     starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
-    out = np.empty((len(sets), len(_SEEDS)), np.uint64)
-    for i, seed in enumerate(_SEEDS):
+    out = np.empty((len(sets), values), np.uint64)
+    for i, seed in enumerate(_SEEDS[:values]):
         out[:, i] = np.minimum.reduceat(flat * seed, starts)
     return (mixed(out) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
-def band_keys(signature: np.ndarray) -> np.ndarray:
+def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     """One 64-bit key a band."""
-    rows = signature.reshape(len(signature), BANDS, BAND_ROWS).astype(np.uint64)
-    out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), rows.shape[:2]) + np.uint64(1)
-    for i in range(BAND_ROWS):
+    rows = signature.reshape(len(signature), bands, -1).astype(np.uint64)
+    out = np.broadcast_to(np.arange(bands, dtype=np.uint64), rows.shape[:2]) + np.uint64(1)
+    for i in range(rows.shape[2]):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, i])
     return out
 
 
 @lru_cache(maxsize=None)
-def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> tuple[tuple[int, int], ...]:
+def least_matches(threshold: float, tolerance: float, values: int) -> tuple[tuple[int, int], ...]:
     """(values compared, matches needed to go on): below, the posterior under a flat prior is too small."""
     grid = (np.arange(2000) + 0.5) / 2000
     out = []
-    for n in range(STEP, len(_SEEDS) + 1, STEP):
+    for n in [*range(STEP, values, STEP), values]:
         need = 0
         for m in range(n + 1):
             # the posterior of the similarity after m of n matches
@@ -102,7 +138,7 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) ->
     return tuple(out)
 
 
-def candidate_pairs(a: np.ndarray, b: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def candidate_pairs(a: np.ndarray, b: np.ndarray | None, steps: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
     """Rows of two blocks of signatures (or pairs within one) that no step of the comparison drops."""
     within = b is None
     b = a if within else b
@@ -110,7 +146,7 @@ def candidate_pairs(a: np.ndarray, b: np.ndarray | None = None) -> tuple[np.ndar
     for low in range(0, len(a), 256):
         block = a[low : low + 256]
         matches = np.zeros((len(block), len(b)), np.int32)
-        n, need = least_matches()[0]
+        n, need = steps[0]
         for i in range(n):
             matches += block[:, i, None] == b[None, :, i]
         alive = matches >= need
@@ -118,7 +154,7 @@ def candidate_pairs(a: np.ndarray, b: np.ndarray | None = None) -> tuple[np.ndar
             alive &= np.arange(low, low + len(block))[:, None] < np.arange(len(b))[None, :]
         x, y = np.nonzero(alive)
         met, seen = matches[x, y], n
-        for n, need in least_matches()[1:]:
+        for n, need in steps[1:]:
             met = met + (block[x, seen:n] == b[y, seen:n]).sum(axis=1)
             live = met >= need
             x, y, met, seen = x[live], y[live], met[live], n
@@ -139,33 +175,35 @@ def small_groups_pairs(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarra
     return (np.concatenate(first), np.concatenate(second)) if first else (none, none)
 
 
-def pruned(signed: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def pruned(signed: np.ndarray, x: np.ndarray, y: np.ndarray, steps: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
     """The pairs that no step of the comparison drops."""
     met, seen = np.zeros(len(x), np.int64), 0
-    for n, need in least_matches():
+    for n, need in steps:
         met = met + (signed[x, seen:n] == signed[y, seen:n]).sum(axis=1)
         live = met >= need
         x, y, met, seen = x[live], y[live], met[live], n
     return x, y
 
 
-def surviving_pairs(signed: np.ndarray, cuts: np.ndarray, same: np.ndarray, left: np.ndarray, small: int = 16) -> tuple[np.ndarray, np.ndarray]:
+def surviving_pairs(
+    signed: np.ndarray, cuts: np.ndarray, same: np.ndarray, left: np.ndarray, steps: tuple[tuple[int, int], ...], small: int = 16
+) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows within the groups that ``cuts`` delimit, after the Bayesian pruning.
 
     Where ``same`` is false the group holds two tiles, and only pairs between them count.
     """
     starts, sizes = cuts[:-1], np.diff(cuts)
     few = (sizes <= small) & same[starts]
-    found = [pruned(signed, *small_groups_pairs(starts[few], sizes[few]))]
+    found = [pruned(signed, *small_groups_pairs(starts[few], sizes[few]), steps)]
     for i, j in zip(starts[~few], cuts[1:][~few]):
         here = np.arange(i, j)
         if same[i]:
-            x, y = candidate_pairs(signed[i:j])
+            x, y = candidate_pairs(signed[i:j], None, steps)
             found.append((here[x], here[y]))
         else:
             one, two = here[left[i:j]], here[~left[i:j]]
             if len(one) and len(two):
-                x, y = candidate_pairs(signed[one], signed[two])
+                x, y = candidate_pairs(signed[one], signed[two], steps)
                 found.append((one[x], two[y]))
     return tuple(np.concatenate(z) for z in zip(*found))
 
@@ -209,9 +247,11 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def _classes(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _classes(texts: DataFrame, screen: Screen) -> tuple[DataFrame, DataFrame]:
     """Each text's class (the 64-bit digest pair of its set), and per class a member and the signature."""
 
+    values = screen.values
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
@@ -219,7 +259,7 @@ def _classes(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
             for low in range(0, len(column), 256):
                 sets = [shingler.of(t) for t in column[low : low + 256]]
                 some = [i for i, s in enumerate(sets) if len(s)]
-                signed = signatures([sets[i] for i in some]) if some else np.empty((0, len(_SEEDS)), np.uint16)
+                signed = signatures([sets[i] for i in some], values) if some else np.empty((0, values), np.uint16)
                 packed: list[bytes | None] = [None] * len(sets)
                 for i, s in zip(some, signed):
                     packed[i] = s.tobytes()
@@ -249,21 +289,21 @@ def _classes(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, classes
 
 
-def _pairs_of(whole: pa.Table, key: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _pairs_of(whole: pa.Table, key: str, screen: Screen) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Node numbers, signatures and surviving pairs of rows of whole groups."""
     cuts = np.append(boundaries(whole, [key, "ta", "tb"]), whole.num_rows)
-    signed = np.frombuffer(b"".join(whole["signature"].to_pylist()), np.uint16).reshape(-1, len(_SEEDS))
+    signed = np.frombuffer(b"".join(whole["signature"].to_pylist()), np.uint16).reshape(-1, screen.values)
     same = whole["ta"].to_numpy() == whole["tb"].to_numpy()
-    x, y = surviving_pairs(signed, cuts, same, whole["left"].to_numpy().astype(bool))
+    x, y = surviving_pairs(signed, cuts, same, whole["left"].to_numpy().astype(bool), screen.steps)
     return whole["node"].to_numpy(), signed, x, y
 
 
-def _bucket_forest(rows: DataFrame) -> DataFrame:
+def _bucket_forest(rows: DataFrame, screen: Screen) -> DataFrame:
     """Spanning forest a, b (class numbers) of what the pruning leaves of each bucket and tile pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in groups_in_order(batches, ["key", "ta", "tb"], 20_000):
-            node, signed, x, y = _pairs_of(whole, "key")
+            node, signed, x, y = _pairs_of(whole, "key", screen)
             root = forest(len(node), x, y)
             tied = np.flatnonzero(root != np.arange(len(node)))
             yield pa.record_batch({"a": pa.array(node[root[tied]]), "b": pa.array(node[tied])})
@@ -287,7 +327,7 @@ def _tiled(rows: DataFrame, key: str, n: str, tile: int) -> DataFrame:
     )
 
 
-def _verified(rows: DataFrame, threshold: float) -> DataFrame:
+def _verified(rows: DataFrame, screen: Screen) -> DataFrame:
     """Per tile pair: links of each class (texts of other classes at the threshold), and a forest.
 
     Rows (node, links, root): root is null for counts, links null for the forest's edges.
@@ -295,9 +335,9 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in groups_in_order(batches, ["cluster", "ta", "tb"], 2_000):
-            node, _, x, y = _pairs_of(whole, "cluster")
+            node, _, x, y = _pairs_of(whole, "cluster", screen)
             texts = whole["texts"].to_numpy()
-            similar = jaccard_at_least([np.frombuffer(s, np.uint64) for s in whole["shingles"].to_pylist()], x, y, threshold)
+            similar = jaccard_at_least([np.frombuffer(s, np.uint64) for s in whole["shingles"].to_pylist()], x, y, screen.threshold)
             x, y = x[similar], y[similar]
             links = np.bincount(x, texts[y], len(node)) + np.bincount(y, texts[x], len(node))
             some = np.flatnonzero(links)
@@ -357,45 +397,56 @@ def _shingle_rows(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def jaccard_groups(
-    docs: DataFrame, threshold: float = THRESHOLD, tile: int = TILE, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    tile: int = TILE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    tolerance: float = TOLERANCE,
+    miss: float = MISS,
 ) -> DataFrame:
     """One row a document: doc_id, text_class, class_texts, n_links, group_id.
 
+    A pair at the threshold or above is missed with a probability of at most ``miss`` by the bands and of
+    about ``tolerance`` by the pruning.
+
     ``text_class`` is the smallest id with the same set of shingles, ``n_links`` counts the other
     documents at the threshold or above (those of the own class included), and ``group_id`` is the
     smallest id of all documents that chains of links reach. Null ids come last.
     """
-    found = _groups(docs, threshold, tile, id_col, text_col)
+    found = _groups(docs, Screen(threshold, tolerance, miss), tile, id_col, text_col)
     return found.select(
         "doc_id", F.col("rep.doc_id").alias("text_class"), F.col("texts").alias("class_texts"),
         (F.col("links") + F.col("texts") - 1).alias("n_links"), F.col("group_rep.doc_id").alias("group_id"),
     )
 
 
-def _groups(docs: DataFrame, threshold: float, tile: int, id_col: str, text_col: str) -> DataFrame:
+def _groups(docs: DataFrame, screen: Screen, tile: int, id_col: str, text_col: str) -> DataFrame:
     texts = rows_of(docs, id_col, text_col).withColumn("tkey", F.xxhash64("text"))
-    members, classes = _classes(texts)
+    members, classes = _classes(texts, screen)
     # a class is known by a number of its own: 64 bits of its set's digest pair
     numbered = saved(classes.withColumn("node", F.xxhash64("class", "other")), "classes")
     signed = numbered.where("signature is not null").select("node", "signature")
 
+    n_bands, values = screen.shape[0], screen.values
+
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = np.frombuffer(b"".join(batch["signature"].to_pylist()), np.uint16).reshape(-1, len(_SEEDS))
-            keys = band_keys(held)
+            held = np.frombuffer(b"".join(batch["signature"].to_pylist()), np.uint16).reshape(-1, values)
+            keys = band_keys(held, n_bands)
             yield pa.record_batch(
-                {"key": pa.array(keys.ravel().view(np.int64)), "node": pa.array(np.repeat(batch["node"].to_numpy(), BANDS))}
+                {"key": pa.array(keys.ravel().view(np.int64)), "node": pa.array(np.repeat(batch["node"].to_numpy(), n_bands))}
             )
 
     keyed = signed.mapInArrow(bands, "key long, node long")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = saved(keyed.join(shared, "key"), "buckets")
-    edges = saved(_bucket_forest(_tiled(met.join(signed, "node"), "key", "n", tile)), "forest")
+    edges = saved(_bucket_forest(_tiled(met.join(signed, "node"), "key", "n", tile), screen), "forest")
     clusters = components(edges).withColumnRenamed("root", "cluster")
     sized = clusters.join(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster")
     in_cluster = saved(sized.join(numbered.select("node", "rep", "texts", "signature"), "node"), "clusters")
     full = in_cluster.drop("rep").join(_shingle_rows(texts, in_cluster), "node")
-    found = saved(_verified(_tiled(full, "cluster", "n", tile), threshold), "links")
+    found = saved(_verified(_tiled(full, "cluster", "n", tile), screen), "links")
     links = found.where("root is null").groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.where("root is not null").select(F.col("root").alias("a"), F.col("node").alias("b")))
     grouped = numbered.join(joined, "node", "left").join(links, "node", "left").select(
@@ -422,7 +473,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_i
 
     Rows repeated with the same id and text stay together.
     """
-    groups = _groups(docs, threshold, TILE, id_col, text_col)
+    groups = _groups(docs, Screen(threshold), TILE, id_col, text_col)
     is_kept = F.col("doc_id").eqNullSafe(F.col("group_rep.doc_id")) & (F.col("tkey") == F.col("group_rep.tkey"))
     kept = groups.where(is_kept).select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).distinct()
     own_key = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))

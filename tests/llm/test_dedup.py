@@ -51,13 +51,13 @@ def test_dedup_of_empty_tables(nothing):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
-def _brute_links(rows):
+def _brute_links(rows, threshold=0.8):
     """(id, links, smallest id of the group) of every row, by comparing shingle sets."""
     sets = []
     for _, text in rows:
         w = (text or "").lower().split()
         sets.append(frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset())
-    near = [[j for j in range(len(rows)) if j != i and _similar(s, sets[j])] for i, s in enumerate(sets)]
+    near = [[j for j in range(len(rows)) if j != i and _similar(s, sets[j], threshold)] for i, s in enumerate(sets)]
     out, seen = [], set()
     for i in range(len(rows)):
         if i in seen:
@@ -74,20 +74,20 @@ def _brute_links(rows):
     return sorted(out, key=key)
 
 
-def _similar(a, b):
+def _similar(a, b, threshold=0.8):
     if not a and not b:
         return True
     shared = len(a & b)
-    return bool(shared) and shared >= 0.8 * (len(a) + len(b) - shared) - 1e-9
+    return bool(shared) and shared >= threshold * (len(a) + len(b) - shared) - 1e-9
 
 
-def _near_copies(n=60):
+def _near_copies(n=60, most=3):
     rng = random.Random(5)
     base = [[f"w{rng.randint(0, 500)}" for _ in range(rng.randint(40, 160))] for _ in range(6)]
     rows = []
     for i in range(n):
         words = list(rng.choice(base))
-        for _ in range(rng.randint(0, 3)):
+        for _ in range(rng.randint(0, most)):
             words[rng.randrange(len(words))] = f"new{rng.randint(0, 9)}"
         rows.append((i, " ".join(words)))
     return rows
@@ -101,6 +101,25 @@ def test_jaccard_groups_equal_brute_force(spark, tile):
     assert got == _brute_links(rows)
 
 
+@pytest.mark.parametrize("threshold, most", [(0.5, 12), (0.6, 9), (0.7, 7), (0.9, 2), (1.0, 1)])
+def test_jaccard_groups_at_other_thresholds(spark, threshold, most):
+    rows = _near_copies(90, most)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.jaccard_groups(docs, threshold).collect()
+    assert sorted(((r.doc_id, r.n_links, r.group_id) for r in got), key=key) == _brute_links(rows, threshold)
+    kept = sorted(r.doc_id for r in jaccard_join.keep_one(docs, threshold).collect())
+    assert kept == sorted({r.group_id for r in got})
+
+
+def test_screen_follows_the_threshold():
+    for threshold in (0.4, 0.5, 0.6, 0.7, 0.8, 0.9):
+        bands, rows = jaccard_join.Screen(threshold).shape
+        assert (1 - threshold**rows) ** bands <= jaccard_join.MISS and bands * rows <= jaccard_join.VALUES
+    assert jaccard_join.Screen().shape == (30, 5)
+    with pytest.raises(ValueError):
+        jaccard_join.Screen(0.01).shape
+
+
 def test_jaccard_odd_rows(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = sorted(((r.doc_id, r.n_links, r.group_id) for r in jaccard_join.jaccard_groups(odd).collect()), key=key)
@@ -119,12 +138,13 @@ def test_pruning_keeps_pairs_at_the_threshold():
         shared = rng.integers(0, 2**63, 160).astype(np.uint64)
         for _ in range(2):
             sets.append(np.unique(np.concatenate([shared, rng.integers(0, 2**63, 20).astype(np.uint64)])))
-    signed = jaccard_join.signatures(sets)
+    screen = jaccard_join.Screen()
+    signed = jaccard_join.signatures(sets, screen.values)
     x, y = np.arange(0, 2 * pairs, 2), np.arange(1, 2 * pairs, 2)
-    assert len(jaccard_join.pruned(signed, x, y)[0]) == pairs
-    far = jaccard_join.pruned(signed, x[:-1], y[1:])[0]
+    assert len(jaccard_join.pruned(signed, x, y, screen.steps)[0]) == pairs
+    far = jaccard_join.pruned(signed, x[:-1], y[1:], screen.steps)[0]
     assert len(far) == 0
-    keys = jaccard_join.band_keys(signed)
+    keys = jaccard_join.band_keys(signed, screen.shape[0])
     assert (keys[x] == keys[y]).any(axis=1).all()
 
 
@@ -162,11 +182,11 @@ def _passages():
     return rows
 
 
-@pytest.mark.parametrize("group_rows", [10_000, 2])
-def test_suffix_dedup_equals_brute_force(spark, group_rows):
+@pytest.mark.parametrize("group_bytes", [1_000_000, 150])
+def test_suffix_dedup_equals_brute_force(spark, group_bytes):
     rows = _passages()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = suffix_dedup.remove_repeats(docs, 50, gram=10, group_rows=group_rows).collect()
+    got = suffix_dedup.remove_repeats(docs, 50, gram=10, group_bytes=group_bytes).collect()
     assert sorted((tuple(r)[:5] for r in got), key=key) == _brute_repeats(rows, 50)
 
 
@@ -177,6 +197,22 @@ def test_suffix_dedup_on_test_table(spark):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
 
 
+def test_suffix_dedup_tells_rows_apart_whatever_their_ids(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = word(220)
+    # a third of all rows: no id and one text; others share an id or have none
+    rows = [(None, word(300) + passage), (1, passage + word(100)), (None, word(900)), (1, word(900))] * 1
+    rows += [(None, "x" + passage[:180])] * 40 + [(None, word(500)) for _ in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # hashes of whole texts that always meet must change nothing
+    monkeypatch.setattr(F, "hash", lambda *c: F.lit(1))
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(1).cast("long"))
+    got = suffix_dedup.remove_repeats(docs).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=key) == _brute_repeats(rows, 200)
+    assert sum(r.n_removed > 0 for r in got) == 2
+
+
 def test_suffix_dedup_odd_rows(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = suffix_dedup.remove_repeats(odd).collect()
