@@ -121,7 +121,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
+    cells = vector_topk.whole_numbers(F.transform("embedding", lambda x: x.cast("double") * 256))
     vectors = table(spark, sf_dir, "embeddings").where(vector_topk.usable("embedding")).select("vec_id", cells.alias("cells"))
     return vector_topk.exact_topk(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 

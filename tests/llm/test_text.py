@@ -317,7 +317,7 @@ def test_topk_of_odd_vectors(spark):
     rows += [(400 + i, rows[i][1]) for i in range(60)]  # ties
     rows += [(900, None), (950, [None] * 8), (1000, [math.nan] * 8), (None, [0.1] * 8), (1050, [0.1] * 3), (1051, [math.inf] * 8)]
     table_ = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    cells = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
+    cells = vector_topk.whole_numbers(F.transform("embedding", lambda x: x * 256))
     vectors = table_.where(vector_topk.usable("embedding")).select("vec_id", cells.alias("cells"), F.lit(1).alias("score"))
     got = vector_topk.exact_topk(vectors.where("vec_id % 50 = 0"), vectors, 5, query_block=4, vector_block=64).collect()
     ints = {i: np.floor(np.array(v) * 256).astype(int) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
@@ -328,3 +328,34 @@ def test_topk_of_odd_vectors(spark):
     assert sorted(map(tuple, got)) == sorted(want)
     assert vector_topk.exact_topk(vectors.limit(0), vectors, 5).count() == 0
     assert vector_topk.exact_topk(vectors.where("vec_id = 0"), vectors.where("vec_id < 3"), 5).count() == 2
+
+
+def _brute_topk(rows, k):
+    want = []
+    for q, x in sorted(rows):
+        found = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != q and len(x) == len(y))[:k]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(found, 1)]
+    return sorted(want)
+
+
+@pytest.mark.parametrize("size", [10, 2**28, 2**29 - 1, 2**30])
+def test_topk_is_exact_at_any_size(spark, size):
+    rng = np.random.default_rng(size)
+    rows = [(i, [int(v) for v in rng.integers(-size, size, 6, endpoint=True)]) for i in range(150)]
+    rows += [(i, [size] * 6) for i in range(150, 260)]  # copies without number: ties go to the smaller ids
+    vectors = spark.createDataFrame(rows, "vec_id long, cells array<long>")
+    got = vector_topk.exact_topk(vectors, vectors, 3, query_block=50, vector_block=70)
+    assert sorted(map(tuple, got.collect())) == _brute_topk(rows, 3)
+
+
+def test_topk_never_wraps(spark):
+    rows = [(0, [10**18, -(10**18)]), (1, [10**18, 10**18]), (2, [3, 4]), (3, [10**18, 10**18])]
+    vectors = spark.createDataFrame(rows, "vec_id long, cells array<long>")
+    asked = vectors.where("vec_id = 2")
+    assert sorted(map(tuple, vector_topk.exact_topk(asked, vectors, 3).collect())) == [(2, 1, 1, 7 * 10**18), (2, 2, 3, 7 * 10**18), (2, 3, 0, -(10**18))]
+    with pytest.raises(Exception, match="leaves 64 bits"):
+        vector_topk.exact_topk(vectors, vectors, 2).collect()
+    huge = spark.createDataFrame([(0, [1e17 * 256])], "vec_id long, x array<double>")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        huge.select(vector_topk.whole_numbers(F.col("x"))).collect()
+    assert huge.select(vector_topk.whole_numbers(F.transform("x", lambda v: v / 256))).first()[0] == [10**17]
