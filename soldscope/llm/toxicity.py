@@ -26,7 +26,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,24 +57,51 @@ def terms_of(word: str) -> list[str]:
     return [word, *(word[:size] + "*" for size in STEMS if len(word) > size)]
 
 
-class TermCounter:
-    """Numbers of a text's known terms and how often each occurs; the numbers of words met before are held."""
+class _Numbers(dict):
+    """Numbers of words in the order they are met; the known terms of word ``i`` are flat[starts[i]:starts[i + 1]]."""
 
     def __init__(self, terms: dict[str, int]) -> None:
         self.terms = terms
-        self.held: dict[str, tuple[int, ...]] = {}
+        self.starts, self.flat = np.zeros(1 << 10, np.int64), np.empty(1 << 12, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        found = [self.terms[t] for t in terms_of(word) if t in self.terms]
+        begun = int(self.starts[number])
+        end = begun + len(found)
+        if number + 1 >= len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        self.flat[begun:end] = found
+        self.starts[number + 1] = end
+        return number
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        met = Counter(words(text))
-        if len(self.held) > WORDS_HELD:
-            self.held.clear()
-        for word in met:
-            if word not in self.held:
-                self.held[word] = tuple([self.terms[t] for t in terms_of(word) if t in self.terms])
-        found = [self.held[word] for word in met]
-        times = np.repeat(np.array([*met.values()], int), [len(f) for f in found])
-        rows, at = np.unique(np.array([*chain.from_iterable(found)], int), return_inverse=True)
-        return rows, np.bincount(at, times, len(rows))
+
+class TermCounter:
+    """Known terms of texts and how often each occurs, many texts at a time; words met before keep their numbers."""
+
+    def __init__(self, terms: dict[str, int]) -> None:
+        self.terms = terms
+        self.numbers = _Numbers(terms)
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, times), by text and term."""
+        if len(self.numbers) > WORDS_HELD:
+            self.numbers = _Numbers(self.terms)
+        number, times, sizes = [], [], []
+        for text in texts:
+            met = Counter(words(text))
+            number.extend(map(self.numbers.__getitem__, met))
+            times.extend(met.values())
+            sizes.append(len(met))
+        word, held = np.array(number, np.int64), self.numbers
+        first, long = held.starts[word], held.starts[word + 1] - held.starts[word]
+        text = np.repeat(np.repeat(np.arange(len(texts)), sizes), long)
+        place = text * max(1, len(self.terms)) + held.flat[ranges(first, first + long)]
+        place, at = np.unique(place, return_inverse=True)
+        summed = np.bincount(at, np.repeat(np.array(times, float), long), len(place))
+        return *np.divmod(place, max(1, len(self.terms))), summed
 
 
 def ranges(first: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -109,11 +135,15 @@ class Postings:
         return out
 
 
-def unit_vector(rows: np.ndarray, times: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms of a text and their weights, of unit length."""
-    w = (1 + np.log(times)) * idf[rows]
-    norm = np.linalg.norm(w)
-    return (rows, w / norm) if norm else (np.empty(0, int), np.empty(0))
+def unit_vectors(counted: tuple[np.ndarray, np.ndarray, np.ndarray], texts: int, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the terms and their weights, of unit length; no terms where all weights are 0."""
+    text, term, times = counted
+    w = (1 + np.log(times)) * idf[term]
+    norm = np.sqrt(np.bincount(text, w * w, texts))
+    w = w / np.where(norm > 0, norm, 1)[text]
+    edges = np.searchsorted(text, np.arange(texts + 1))
+    none = np.empty(0, int), np.empty(0)
+    return [(term[a:b], w[a:b]) if n > 0 else none for a, b, n in zip(edges, edges[1:], norm)]
 
 
 @dataclass
@@ -210,9 +240,9 @@ def document_frequencies(docs: DataFrame, terms: dict[str, int], text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, n, met = TermCounter(shared.value), 0, np.zeros(len(shared.value), int)
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                n += 1
-                met[counter(text)[0]] += 1
+            n += batch.num_rows
+            for begun in range(0, batch.num_rows, TEXTS):
+                met += np.bincount(counter(batch["text"].slice(begun, TEXTS).to_pylist())[1], minlength=len(met))
         at = np.flatnonzero(met)
         yield pa.record_batch({"term": pa.array([-1, *at.tolist()], pa.int32()), "n": pa.array([n, *met[at].tolist()], pa.int64())})
 
@@ -238,8 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", examples:
     terms = {t: i for i, t in enumerate(sorted({t for r in rows for word in set(words(r.text)) for t in terms_of(word)}))}
     n, df = document_frequencies(docs, terms)
     idf = np.log((n + 1) / (df + 1))
-    counter = TermCounter(terms)
-    vectors = [unit_vector(*counter(r.text), idf) for r in rows]
+    vectors = unit_vectors(TermCounter(terms)([r.text for r in rows]), len(rows), idf)
     at, w = (np.concatenate(parts) for parts in zip(*vectors))
     places = np.repeat(np.arange(len(ids)), [len(at) for at, _ in vectors])
     postings = Postings(at[w > 0], places[w > 0], w[w > 0], (len(terms), len(ids)))
@@ -268,7 +297,7 @@ def toxicity_scores(
                 if not counter:
                     votes, near, how = votes + [0.0] * len(texts), near + [[]] * len(texts), how + [[]] * len(texts)
                     continue
-                vectors = [unit_vector(*counter(text), held.index.idf) for text in texts]
+                vectors = unit_vectors(counter(texts), len(texts), held.index.idf)
                 for vector, share in zip(vectors, held.index.shares(vectors)):
                     places, similarity = held.index.nearest(*vector, k, share=share)
                     votes.append(held.index.vote(places, similarity))
