@@ -42,7 +42,7 @@ BLOCK = 64
 FIRST = 8
 COMMON = 1 / 16
 TEXTS = 64  # scored at a time
-WORDS_HELD = 1 << 18
+WORDS_HELD = 1 << 19
 _WORDS = regex.compile(r"\p{L}+")
 _ASCII_WORDS = re.compile("[a-z]+")
 
@@ -62,21 +62,31 @@ class _Numbers(dict):
 
     def __init__(self, terms: dict[str, int]) -> None:
         self.terms = terms
-        self.starts, self.flat = np.zeros(1 << 10, np.int64), np.empty(1 << 12, np.int64)
+        self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, np.int64)
+        self.new: list[int] = []
+        self.long: list[int] = []
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
         found = [self.terms[t] for t in terms_of(word) if t in self.terms]
-        begun = int(self.starts[number])
-        end = begun + len(found)
-        if number + 1 >= len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        if end > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        self.flat[begun:end] = found
-        self.starts[number + 1] = end
+        self.new += found
+        self.long.append(len(found))
         return number
 
+    def settle(self) -> None:
+        """Take the words met since the last call into the arrays; room doubles, so copies stay few."""
+        begun, end = len(self) - len(self.long), len(self)
+        if not self.long:
+            return
+        if end >= len(self.starts):
+            self.starts = np.concatenate([self.starts[: begun + 1], np.zeros(end + 1, np.int64)])
+        self.starts[begun + 1 : end + 1] = self.starts[begun] + np.cumsum(self.long)
+        first, last = int(self.starts[begun]), int(self.starts[end])
+        if last > len(self.flat):
+            self.flat = np.concatenate([self.flat[:first], np.empty(2 * last, np.int64)])
+        self.flat[first:last] = self.new
+        self.new, self.long = [], []
+
 
 class TermCounter:
     """Known terms of texts and how often each occurs, many texts at a time; words met before keep their numbers."""
@@ -95,6 +105,7 @@ class TermCounter:
             number.extend(map(self.numbers.__getitem__, met))
             times.extend(met.values())
             sizes.append(len(met))
+        self.numbers.settle()
         word, held = np.array(number, np.int64), self.numbers
         first, long = held.starts[word], held.starts[word + 1] - held.starts[word]
         text = np.repeat(np.repeat(np.arange(len(texts)), sizes), long)
@@ -170,12 +181,15 @@ class BlockIndex:
         self.dense = self.weights[rows]
 
     def shares(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """What the common terms add to the similarities, texts x examples."""
-        asked = np.zeros((len(vectors), len(self.dense)))
+        """What the common terms add to the similarities, texts x examples.
+
+        A text's own terms only, and not as a matrix product: its threads would wait for each other.
+        """
+        out = np.zeros((len(vectors), len(self.ids)))
         for i, (rows, w) in enumerate(vectors):
             at = self.common[rows]
-            asked[i, at[at >= 0]] = w[at >= 0]
-        return asked @ self.dense
+            np.einsum("i,ij->j", w[at >= 0], self.dense[at[at >= 0]], out=out[i])
+        return out
 
     def nearest(
         self, rows: np.ndarray, w: np.ndarray, k: int, but: int | None = None, share: np.ndarray | None = None
