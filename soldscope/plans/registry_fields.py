@@ -386,32 +386,6 @@ def _(spark, sf_dir):
     )
 
 
-# ---------------------------------------------------------------- titles
-
-
-@register("title_parse")
-def _(spark, sf_dir):
-    """Formatted rows of all shops, counted per result; titles have size, color and material words."""
-    rows = sold(spark, sf_dir, "shop", "brand", "title", "condition", "color", "material")
-    rows = rows.withColumnRenamed("title", "model").withColumns(
-        {"other": F.lit(None).cast("string"), "old_data": F.lit(None).cast("string")}
-    )
-    done = format_rows(rows)
-    keys = [f"new_{c}" for c in ("brand", "model", "condition", "color", "material", "other")]
-    return done.groupBy("shop", *keys).agg(F.count("*").alias("row_count"))
-
-
-@register("format_from_old_data")
-def _(spark, sf_dir):
-    """The reformat job's inputs from the raw JSON of each row, with changed rows counted per field."""
-    rows = sold(spark, sf_dir, "shop", "brand", "condition", "color", "material", "old_data")
-    rows = rows.withColumns({c: F.lit(None).cast("string") for c in ("model", "year", "other")})
-    done = format_rows(rows)
-    pairs = {c: (F.col(c), F.col(f"new_{c}")) for c in ("brand", "model", "condition", "color", "material")}
-    marked = done.select("shop", F.array_join(updates.changed_fields(pairs), "|").alias("changed"), "new_model")
-    return marked.groupBy("shop", "changed", "new_model").agg(F.count("*").alias("row_count"))
-
-
 # ---------------------------------------------------------------- names, merged fields
 
 
