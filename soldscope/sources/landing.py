@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from soldscope.functions import text as X
 from soldscope.functions.color import normalize_color
@@ -16,6 +15,7 @@ from soldscope.functions.condition import with_grade
 from soldscope.functions.money import prices_in_cny
 from soldscope.functions.names import normalize_brand
 from soldscope.schema import MONEY, SOLD, align
+from soldscope.sources.csv_records import cells, csv_records
 
 # fixed values: header to column, per kind of shop
 HEADERS = {
@@ -36,7 +36,6 @@ OLD_DATA_V = (
     "seller_price", "buyer_fee", "likes", "listed_at", "sold_at", "url",
 )
 GLOBS = {"csv": "*.[cC][sS][vV]", "json": "*.[jJ][sS][oO][nN]*", "parquet": "*.[pP][aA][rR][qQ][uU][eE][tT]"}
-CSV_OPTIONS = {"multiLine": "true", "quote": '"', "escape": '"'}
 
 
 def snapshot_date(file_name: Column | str) -> Column:
@@ -79,26 +78,18 @@ def _file_columns() -> list[Column]:
     ]
 
 
-def csv_width(spark: SparkSession, paths: list[str] | str) -> int:
-    """Cells that a header row can hold: separators of the widest record that names an id, plus one.
+def read_csv(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Rows of CSV files as one array of cells each, however long; quoted cells may hold line breaks.
 
-    Cells to the right of the header have no name, so the header alone sets the width. The reader hands a
-    record of more cells than the schema over as a whole, with the line breaks in its cells. Separators
-    inside quotes count too: the width is a bound.
+    Files are split by byte ranges whatever their cells hold.
     """
-    raw = T.StructType([T.StructField("c0", T.StringType()), T.StructField("_record", T.StringType())])
-    rows = _reader(spark, "csv").options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord="_record").schema(raw).csv(paths)
-    record = F.coalesce("_record", "c0")
-    widest = rows.where(F.lower(record).contains(ID_HEADER)).agg(F.max(F.size(F.split(record, ","))))
-    return widest.first()[0] or 1
-
-
-def read_csv(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Rows of CSV files as one array of cells each; quoted cells may hold line breaks."""
-    width = csv_width(spark, paths)
-    row = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    rows = _reader(spark, "csv").options(**CSV_OPTIONS).schema(row).csv(paths)
-    return rows.select(F.array(*[f"c{i}" for i in range(width)]).alias("cells"), *_file_columns())
+    lines = _reader(spark, "csv").option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value"
+    )
+    named = csv_records(spark, lines).select(
+        shop_of_path("path").alias("shop"), F.element_at(F.split(F.url_decode("path"), "/"), -1).alias("file_name"), "record"
+    )
+    return named.select("shop", "file_name", cells("record").alias("cells"))
 
 
 def cells_of_csv(rows: DataFrame) -> DataFrame:
@@ -136,11 +127,7 @@ def _reader(spark: SparkSession, fmt: str):
 
 
 def read_cells(spark: SparkSession, root: list[str] | str, fmt: str = "csv") -> DataFrame:
-    """Rows of all files as ``(shop, file_name, pairs)``; ``pairs`` lists header and cell in file order.
-
-    A CSV file with line breaks in cells is read by one task; very large snapshots should come as JSON
-    lines or Parquet, which split.
-    """
+    """Rows of all files as ``(shop, file_name, pairs)``; ``pairs`` lists header and cell in file order."""
     if fmt == "csv":
         return cells_of_csv(read_csv(spark, root))
     reader = _reader(spark, fmt)
