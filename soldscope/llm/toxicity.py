@@ -6,10 +6,10 @@ beginnings of ``STEMS`` letters. Every term of the examples is kept, however rar
 count all documents. Weights are (1 + ln of the times) * ln((documents + 1) / (frequency + 1)). A term
 that no example holds cannot bring a text nearer to one; lengths are taken over the examples' terms.
 
-Examples lie in blocks; for each term the index keeps its postings and their greatest weight in each
-block. What the terms of more than ``COMMON`` of the examples add is worked out for all examples, many
-texts at a time. Of a text's blocks the ``FIRST`` by the bound that this and the greatest weights give are
-read, then all that can still reach the kth similarity, so the neighbours are exact. Votes weighted by similarity pass through a logistic curve
+Examples lie in blocks, like beside like; for each term the index keeps its postings and their greatest
+weight in each block. Terms of more than ``COMMON`` of the examples are kept as full rows, block by block.
+Of a text's blocks the ``FIRST`` by the bound that the greatest weights give are read, then all that can
+still reach the kth similarity, so the neighbours are exact. Votes weighted by similarity pass through a logistic curve
 fitted on the examples themselves, each without its own vote.
 
 Defined results: null and empty texts and texts without any of the examples' terms have no neighbours and the
@@ -157,6 +157,24 @@ def unit_vectors(counted: tuple[np.ndarray, np.ndarray, np.ndarray], texts: int,
     return [(term[a:b], w[a:b]) if n > 0 else none for a, b, n in zip(edges, edges[1:], norm)]
 
 
+def like_beside_like(rows: np.ndarray) -> np.ndarray:
+    """Order of rows in which blocks hold similar ones: halves along the direction of most spread, again and again."""
+
+    def halved(part: np.ndarray) -> np.ndarray:
+        if len(part) <= BLOCK:
+            return part
+        x = rows[part] - rows[part].mean(axis=0)
+        v = np.random.default_rng(len(part)).normal(size=x.shape[1])
+        for _ in range(12):
+            v = x.T @ (x @ v)
+            v /= np.linalg.norm(v) or 1.0
+        part = part[np.argsort(x @ v, kind="stable")]
+        middle = BLOCK * max(1, round(len(part) / 2 / BLOCK))
+        return np.concatenate([halved(part[:middle]), halved(part[middle:])])
+
+    return halved(np.arange(len(rows)))
+
+
 @dataclass
 class BlockIndex:
     """Examples' unit vectors by term, and each term's greatest weight in each block of examples."""
@@ -167,44 +185,37 @@ class BlockIndex:
     toxic: np.ndarray
     weights: np.ndarray | Postings  # terms x examples, in the order of ids; held as postings
     common: np.ndarray = field(init=False)  # each common term's row in dense, else -1
-    dense: np.ndarray = field(init=False)  # common terms x examples
+    dense: np.ndarray = field(init=False)  # blocks x common terms x examples of the block
+    peaks: np.ndarray = field(init=False)  # common terms x blocks
 
     def __post_init__(self) -> None:
         if not isinstance(self.weights, Postings):
-            order = np.argsort(self.ids, kind="stable")
-            self.ids, self.toxic, dense = self.ids[order], self.toxic[order], self.weights[:, order]
+            dense = self.weights
             self.weights = Postings(*np.nonzero(dense), dense[np.nonzero(dense)], dense.shape)
+        examples = self.weights.shape[1]
         met = np.diff(self.weights.edges[self.weights.starts])
-        rows = np.flatnonzero(met > COMMON * len(self.ids))
+        rows = np.flatnonzero(met > COMMON * examples)
         self.common = np.full(len(met), -1)
         self.common[rows] = np.arange(len(rows))
-        self.dense = self.weights[rows]
-
-    def shares(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """What the common terms add to the similarities, texts x examples.
+        blocks = -(-examples // BLOCK)
+        full = np.zeros((len(rows), blocks * BLOCK))
+        full[:, :examples] = self.weights[rows]
+        self.dense = np.ascontiguousarray(full.reshape(len(rows), blocks, BLOCK).transpose(1, 0, 2))
+        self.peaks = np.ascontiguousarray(self.dense.max(axis=2, initial=0).T)
 
-        A text's own terms only, and not as a matrix product: its threads would wait for each other.
-        """
-        out = np.zeros((len(vectors), len(self.ids)))
-        for i, (rows, w) in enumerate(vectors):
-            at = self.common[rows]
-            np.einsum("i,ij->j", w[at >= 0], self.dense[at[at >= 0]], out=out[i])
-        return out
-
-    def nearest(
-        self, rows: np.ndarray, w: np.ndarray, k: int, but: int | None = None, share: np.ndarray | None = None
-    ) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, rows: np.ndarray, w: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Examples (their places) with the k greatest similarities above 0, and the similarities."""
         places, found = np.empty(0, int), np.empty(0)
         if not len(rows):
             return places, found
-        if share is None:
-            share = self.shares([(rows, w)])[0]
-        held, rare = self.weights, self.common[rows] < 0
+        held, common = self.weights, self.common[rows]
+        rare, blocks = common < 0, len(self.dense)
+        shared, by = common[~rare], w[~rare]
         first, end = held.starts[rows[rare]], held.starts[rows[rare] + 1]
         cells, w = ranges(first, end), np.repeat(w[rare], end - first)
-        block, blocks = held.block[cells], np.arange(0, len(self.ids), BLOCK)
-        bound = np.bincount(block, w * held.peak[cells], len(blocks)) + np.maximum.reduceat(share, blocks) + 1e-9
+        block = held.block[cells]
+        # sums of products, never matrix products: their threads would wait for each other
+        bound = np.bincount(block, w * held.peak[cells], blocks) + np.einsum("i,ij->j", by, self.peaks[shared]) + 1e-9
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 1e-9]
         for part in (order[:FIRST], order[FIRST:]):
@@ -212,21 +223,26 @@ class BlockIndex:
                 part = part[bound[part] >= found[-1]]
             if not len(part):
                 break
-            chosen = np.zeros(len(bound), bool)
-            chosen[part] = True
-            read = chosen[block]
-            first, end = held.edges[cells[read]], held.edges[cells[read] + 1]
-            at = ranges(first, end)
-            score = np.bincount(held.place[at], np.repeat(w[read], end - first) * held.weight[at], len(self.ids))
-            score = np.where(np.repeat(chosen, BLOCK)[: len(score)], score + share, 0)
-            if but is not None:
-                score[self.ids == but] = 0
+            chosen, move = np.zeros(blocks, bool), np.zeros(blocks, int)
+            chosen[part], move[part] = True, (np.arange(len(part)) - part) * BLOCK
+            read = np.flatnonzero(chosen[block])
+            cell = cells[read]
+            first = held.edges[cell]
+            long = held.edges[cell + 1] - first
+            at = ranges(first, first + long)
+            slot = held.place[at] + np.repeat(move[block[read]], long)
+            score = np.bincount(slot, np.repeat(w[read], long) * held.weight[at], len(part) * BLOCK).astype(float)
+            for i, b in enumerate(part.tolist()):
+                score[i * BLOCK : (i + 1) * BLOCK] += np.einsum("i,ij->j", by, self.dense[b].take(shared, axis=0))
             here = np.flatnonzero(score > 0)
-            places, found = np.concatenate([places, here]), np.concatenate([found, score[here]])
+            place = part[here // BLOCK] * BLOCK + here % BLOCK
+            if but is not None:
+                here, place = here[self.ids[place] != but], place[self.ids[place] != but]
+            places, found = np.concatenate([places, place]), np.concatenate([found, score[here]])
             if len(found) > k:
                 good = found >= np.partition(found, -k)[-k]
                 places, found = places[good], found[good]
-            best = np.lexsort((places, -found))[:k]
+            best = np.lexsort((self.ids[places], -found))[:k]
             places, found = places[best], found[best]
         return places, found
 
@@ -268,6 +284,18 @@ def document_frequencies(docs: DataFrame, terms: dict[str, int], text_col: str =
     return int(out[-1]), out[:-1]
 
 
+def _widest_terms(vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, most: int = 1024) -> np.ndarray:
+    """The vectors over the terms that most of them hold."""
+    met = np.bincount(np.concatenate([at for at, _ in vectors]), minlength=terms)
+    column = np.full(terms, -1)
+    column[np.argsort(-met, kind="stable")[:most]] = np.arange(min(most, terms))
+    out = np.zeros((len(vectors), min(most, terms)))
+    for i, (at, w) in enumerate(vectors):
+        known = column[at] >= 0
+        out[i, column[at[known]]] = w[known]
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", examples: int = EXAMPLES, k: int = NEIGHBOURS) -> ToxicityModel:
     sample, total = labelled_sample(docs, labels, label_col, examples)
     # of copies of one text only one example, else they would be each other's nearest; of rows that share an id one too
@@ -283,6 +311,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", examples:
     n, df = document_frequencies(docs, terms)
     idf = np.log((n + 1) / (df + 1))
     vectors = unit_vectors(TermCounter(terms)([r.text for r in rows]), len(rows), idf)
+    order = like_beside_like(_widest_terms(vectors, len(terms)))
+    rows, ids, vectors = ([held[i] for i in order] for held in (rows, ids, vectors))
     at, w = (np.concatenate(parts) for parts in zip(*vectors))
     places = np.repeat(np.arange(len(ids)), [len(at) for at, _ in vectors])
     postings = Postings(at[w > 0], places[w > 0], w[w > 0], (len(terms), len(ids)))
@@ -311,9 +341,8 @@ def toxicity_scores(
                 if not counter:
                     votes, near, how = votes + [0.0] * len(texts), near + [[]] * len(texts), how + [[]] * len(texts)
                     continue
-                vectors = unit_vectors(counter(texts), len(texts), held.index.idf)
-                for vector, share in zip(vectors, held.index.shares(vectors)):
-                    places, similarity = held.index.nearest(*vector, k, share=share)
+                for vector in unit_vectors(counter(texts), len(texts), held.index.idf):
+                    places, similarity = held.index.nearest(*vector, k)
                     votes.append(held.index.vote(places, similarity))
                     near.append(held.index.ids[places[:shown]].tolist())
                     how.append(similarity[:shown].tolist())
