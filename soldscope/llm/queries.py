@@ -100,7 +100,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(id_remainder("doc_id", 3) != 1)
-    scores = toxicity.toxicity_scores(docs, toxicity.fit(docs, labels))
+    model, counted = toxicity.fit(docs, labels)
+    scores = toxicity.counted_scores(counted, model) if counted is not None else toxicity.toxicity_scores(docs, model)
     return scores.select(
         "doc_id",
         (id_remainder("doc_id", 3) == 1).alias("held_out"),

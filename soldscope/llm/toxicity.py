@@ -29,11 +29,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soldscope.llm.common import fit_logistic, labelled_sample, rows_of
+from soldscope.llm.common import fit_logistic, labelled_sample, rows_of, saved
 
 EXAMPLES = 1000
 NEIGHBOURS = 40
@@ -127,13 +128,13 @@ class Postings:
     def __init__(self, term: np.ndarray, place: np.ndarray, weight: np.ndarray, shape: tuple[int, int]) -> None:
         self.shape = shape
         order = np.lexsort((place, term))
-        term, self.place, self.weight = term[order], place[order], weight[order]
-        block = self.place // BLOCK
+        term, place, self.weight = term[order], place[order], weight[order]
+        block = place // BLOCK
         new = np.ones(len(term), bool)
         new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
         begun = np.flatnonzero(new)
         self.edges = np.append(begun, len(term))  # of the cells, in the postings
-        self.block = block[begun]
+        self.place, self.block = place.astype(np.int32), block[begun].astype(np.int32)
         self.peak = np.maximum.reduceat(self.weight, begun) if len(begun) else np.empty(0)
         self.starts = np.searchsorted(term[begun], np.arange(shape[0] + 1))  # of the terms, in the cells
 
@@ -205,51 +206,79 @@ class BlockIndex:
 
     def nearest(self, rows: np.ndarray, w: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Examples (their places) with the k greatest similarities above 0, and the similarities."""
-        places, found = np.empty(0, int), np.empty(0)
-        if not len(rows):
-            return places, found
-        held, common = self.weights, self.common[rows]
-        rare, blocks = common < 0, len(self.dense)
-        shared, by = common[~rare], w[~rare]
-        first, end = held.starts[rows[rare]], held.starts[rows[rare] + 1]
-        cells, w = ranges(first, end), np.repeat(w[rare], end - first)
-        block = held.block[cells]
-        # sums of products, never matrix products: their threads would wait for each other
-        bound = np.bincount(block, w * held.peak[cells], blocks) + np.einsum("i,ij->j", by, self.peaks[shared]) + 1e-9
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 1e-9]
-        for part in (order[:FIRST], order[FIRST:]):
-            if len(found) == k:
-                part = part[bound[part] >= found[-1]]
-            if not len(part):
-                break
-            chosen, move = np.zeros(blocks, bool), np.zeros(blocks, int)
-            chosen[part], move[part] = True, (np.arange(len(part)) - part) * BLOCK
-            read = np.flatnonzero(chosen[block])
-            cell = cells[read]
-            first = held.edges[cell]
-            long = held.edges[cell + 1] - first
-            at = ranges(first, first + long)
-            slot = held.place[at] + np.repeat(move[block[read]], long)
-            score = np.bincount(slot, np.repeat(w[read], long) * held.weight[at], len(part) * BLOCK).astype(float)
-            for i, b in enumerate(part.tolist()):
-                score[i * BLOCK : (i + 1) * BLOCK] += np.einsum("i,ij->j", by, self.dense[b].take(shared, axis=0))
-            here = np.flatnonzero(score > 0)
-            place = part[here // BLOCK] * BLOCK + here % BLOCK
-            if but is not None:
-                here, place = here[self.ids[place] != but], place[self.ids[place] != but]
-            places, found = np.concatenate([places, place]), np.concatenate([found, score[here]])
-            if len(found) > k:
-                good = found >= np.partition(found, -k)[-k]
-                places, found = places[good], found[good]
-            best = np.lexsort((self.ids[places], -found))[:k]
-            places, found = places[best], found[best]
-        return places, found
+        return self.nearest_of_each([(rows, w)], k, [but])[0]
+
+    def nearest_of_each(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int | None] | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of many texts; a block's common terms are read for all of them while they are at hand."""
+        asked = [_Asked(self, rows, w) for rows, w in vectors]
+        for phase in (slice(None, FIRST), slice(FIRST, None)):
+            parts = [a.open_blocks(phase, k) for a in asked]
+            sums = [np.zeros(len(p) * BLOCK) for p in parts]
+            text = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+            slot = np.concatenate([np.arange(len(p)) for p in parts]) * BLOCK
+            block = np.concatenate(parts)
+            for i in np.argsort(block, kind="stable").tolist():
+                a, at = asked[text[i]], slot[i]
+                # a sum of products, never a matrix product: its threads would wait for each other
+                np.einsum("i,ij->j", a.by, self.dense[block[i]].take(a.shared, axis=0), out=sums[text[i]][at : at + BLOCK])
+            for i, (a, part) in enumerate(zip(asked, parts)):
+                if len(part):
+                    a.read(part, sums[i], k, but[i] if but else None)
+        return [(a.places, a.found) for a in asked]
 
     def vote(self, places: np.ndarray, similarity: np.ndarray) -> float:
         return float(similarity @ self.toxic[places] / similarity.sum()) if len(places) else 0.0
 
 
+class _Asked:
+    """A text on its way to its neighbours."""
+
+    def __init__(self, index: BlockIndex, rows: np.ndarray, w: np.ndarray) -> None:
+        self.index, held = index, index.weights
+        common = index.common[rows]
+        rare = common < 0
+        self.shared, self.by = common[~rare], w[~rare]
+        first, end = held.starts[rows[rare]], held.starts[rows[rare] + 1]
+        self.cells, self.w = ranges(first, end), np.repeat(w[rare], end - first)
+        self.block = held.block[self.cells]
+        self.bound = np.bincount(self.block, self.w * held.peak[self.cells], len(index.dense)) + 1e-9
+        self.bound += np.einsum("i,ij->j", self.by, index.peaks[self.shared])
+        order = np.argsort(-self.bound, kind="stable")
+        self.order = order[self.bound[order] > 1e-9]
+        self.places, self.found = np.empty(0, int), np.empty(0)
+
+    def open_blocks(self, phase: slice, k: int) -> np.ndarray:
+        """Blocks of a phase that can still hold one of the k nearest."""
+        part = self.order[phase]
+        return part[self.bound[part] >= self.found[-1]] if len(self.found) == k else part
+
+    def read(self, part: np.ndarray, sums: np.ndarray, k: int, but: int | None) -> None:
+        """Take in the examples of some blocks; ``sums`` holds what the common terms add."""
+        held, blocks = self.index.weights, len(self.index.dense)
+        chosen, move = np.zeros(blocks, bool), np.zeros(blocks, int)
+        chosen[part], move[part] = True, (np.arange(len(part)) - part) * BLOCK
+        read = np.flatnonzero(chosen[self.block])
+        cell = self.cells[read]
+        first = held.edges[cell]
+        long = held.edges[cell + 1] - first
+        at = ranges(first, first + long)
+        slot = held.place[at] + np.repeat(move[self.block[read]], long)
+        score = np.bincount(slot, np.repeat(self.w[read], long) * held.weight[at], len(sums)) + sums
+        here = np.flatnonzero(score > 0)
+        place = part[here // BLOCK] * BLOCK + here % BLOCK
+        if but is not None:
+            other = self.index.ids[place] != but
+            here, place = here[other], place[other]
+        places, found = np.concatenate([self.places, place]), np.concatenate([self.found, score[here]])
+        if len(found) > k:
+            good = found >= np.partition(found, -k)[-k]
+            places, found = places[good], found[good]
+        best = np.lexsort((self.index.ids[places], -found))[:k]
+        self.places, self.found = places[best], found[best]
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     index: BlockIndex | None
@@ -263,24 +292,43 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * votes + self.intercept, -500, 500)))
 
 
-def document_frequencies(docs: DataFrame, terms: dict[str, int], text_col: str = "text") -> tuple[int, np.ndarray]:
-    """Number of documents, and of those with each of the numbered terms, over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
+_COUNTED = "doc_id long, terms array<int>, times array<int>, totals boolean"
+
+
+def count_terms(docs: DataFrame, terms: dict[str, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every document's known terms and how often each occurs, written; the texts are read this once.
+
+    Each task adds a row (``totals``) with the documents that hold each term, and -1 for all its documents.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(terms)  # the terms of 2 * EXAMPLES rows at most
+
+    def batch_of(ids: pa.Array, sizes: np.ndarray, term: np.ndarray, times: np.ndarray, totals: bool) -> pa.RecordBatch:
+        edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(edges, pa.array(x.astype(np.int32))) for x in (term, times)]
+        return pa.record_batch([ids, *lists, pa.array([totals] * len(sizes), pa.bool_())], names=["doc_id", "terms", "times", "totals"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, n, met = TermCounter(shared.value), 0, np.zeros(len(shared.value), int)
+        counter, n, met = TermCounter(shared.value), 0, np.zeros(len(shared.value), np.int64)
         for batch in batches:
             n += batch.num_rows
             for begun in range(0, batch.num_rows, TEXTS):
-                met += np.bincount(counter(batch["text"].slice(begun, TEXTS).to_pylist())[1], minlength=len(met))
+                texts = batch["text"].slice(begun, TEXTS).to_pylist()
+                text, term, times = counter(texts)
+                met += np.bincount(term, minlength=len(met))
+                yield batch_of(batch["doc_id"].slice(begun, TEXTS), np.bincount(text, minlength=len(texts)), term, times, False)
         at = np.flatnonzero(met)
-        yield pa.record_batch({"term": pa.array([-1, *at.tolist()], pa.int32()), "n": pa.array([n, *met[at].tolist()], pa.int64())})
+        yield batch_of(pa.array([None], pa.int64()), np.array([len(at) + 1]), np.append(at, -1), np.append(met[at], n), True)
 
-    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # the examples' terms + 1
-    out = np.zeros(len(terms) + 1, int)  # the last one counts the documents
+    return saved(rows_of(docs, id_col, text_col).mapInArrow(run, _COUNTED), "terms")
+
+
+def document_frequencies(counted: DataFrame, terms: int) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those with each of the numbered terms, over all documents."""
+    pairs = counted.where("totals").select(F.explode(F.arrays_zip("terms", "times")).alias("p"))
+    rows = pairs.groupBy("p.terms").agg(F.sum("p.times").alias("n")).collect()  # the examples' terms + 1
+    out = np.zeros(terms + 1, int)  # the last one counts the documents
     for r in rows:
-        out[r.term] = r.n
+        out[r.terms] = r.n
     return int(out[-1]), out[:-1]
 
 
@@ -296,19 +344,23 @@ def _widest_terms(vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, most
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", examples: int = EXAMPLES, k: int = NEIGHBOURS) -> ToxicityModel:
+def fit(
+    docs: DataFrame, labels: DataFrame, label_col: str = "toxic", examples: int = EXAMPLES, k: int = NEIGHBOURS
+) -> tuple[ToxicityModel, DataFrame | None]:
+    """The model, and the counted terms of ``docs`` by which ``counted_scores`` scores them without their texts."""
     sample, total = labelled_sample(docs, labels, label_col, examples)
     # of copies of one text only one example, else they would be each other's nearest; of rows that share an id one too
     sample = sample.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y"))
     sample = sample.groupBy("doc_id").agg(F.max(F.struct("text", "y")).alias("row")).select("doc_id", "row.*")
     if not total.get(0) or not total.get(1):
-        return ToxicityModel(None, constant=0.5 if not any(total.values()) else float(bool(total.get(1))))
+        return ToxicityModel(None, constant=0.5 if not any(total.values()) else float(bool(total.get(1)))), None
     rows = sample.orderBy("doc_id").collect()  # at most 2 * examples
     if len({r.y for r in rows}) < 2:
-        return ToxicityModel(None, constant=total[1] / (total[0] + total[1]))
+        return ToxicityModel(None, constant=total[1] / (total[0] + total[1])), None
     ids = [r.doc_id for r in rows]
     terms = {t: i for i, t in enumerate(sorted({t for r in rows for word in set(words(r.text)) for t in terms_of(word)}))}
-    n, df = document_frequencies(docs, terms)
+    counted = count_terms(docs, terms)
+    n, df = document_frequencies(counted, len(terms))
     idf = np.log((n + 1) / (df + 1))
     vectors = unit_vectors(TermCounter(terms)([r.text for r in rows]), len(rows), idf)
     order = like_beside_like(_widest_terms(vectors, len(terms)))
@@ -317,12 +369,30 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", examples:
     places = np.repeat(np.arange(len(ids)), [len(at) for at, _ in vectors])
     postings = Postings(at[w > 0], places[w > 0], w[w > 0], (len(terms), len(ids)))
     index = BlockIndex(terms, idf, np.array(ids), np.array([r.y for r in rows], float), postings)
-    votes = np.array([index.vote(*index.nearest(at, w, k, but=i)) for i, (at, w) in zip(ids, vectors)])
+    votes = np.array([index.vote(*f) for f in index.nearest_of_each(vectors, k, ids)])
     y = index.toxic
     slope, intercept = fit_logistic(votes, y)
     # the sample holds the classes evenly: their true odds shift the curve
     odds = math.log(total[1] / total[0]) - math.log(max(1.0, y.sum()) / max(1.0, (1 - y).sum()))
-    return ToxicityModel(index, slope, intercept + odds)
+    return ToxicityModel(index, slope, intercept + odds), counted
+
+
+_SCORES = "doc_id long, vote double, score double, examples array<long>, similarities array<double>"
+
+
+def _scored(ids: pa.Array, vectors: list[tuple[np.ndarray, np.ndarray]], model: ToxicityModel, k: int, shown: int) -> pa.RecordBatch:
+    found = model.index.nearest_of_each(vectors, k) if model.index else [(np.empty(0, int), np.empty(0))] * len(vectors)
+    votes = np.array([model.index.vote(*f) if model.index else 0.0 for f in found], float)
+    near = [model.index.ids[places[:shown]].tolist() if model.index else [] for places, _ in found]
+    return pa.record_batch(
+        {
+            "doc_id": ids,
+            "vote": pa.array(votes),
+            "score": pa.array(model.probability(votes), pa.float64()),
+            "examples": pa.array(near, pa.list_(pa.int64())),
+            "similarities": pa.array([similarity[:shown].tolist() for _, similarity in found], pa.list_(pa.float64())),
+        }
+    )
 
 
 def toxicity_scores(
@@ -333,29 +403,28 @@ def toxicity_scores(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
-        counter = TermCounter(held.index.terms) if held.index else None
+        counter = TermCounter(held.index.terms if held.index else {})
         for batch in batches:
-            votes, near, how = [], [], []
             for begun in range(0, batch.num_rows, TEXTS):
                 texts = batch["text"].slice(begun, TEXTS).to_pylist()
-                if not counter:
-                    votes, near, how = votes + [0.0] * len(texts), near + [[]] * len(texts), how + [[]] * len(texts)
-                    continue
-                for vector in unit_vectors(counter(texts), len(texts), held.index.idf):
-                    places, similarity = held.index.nearest(*vector, k)
-                    votes.append(held.index.vote(places, similarity))
-                    near.append(held.index.ids[places[:shown]].tolist())
-                    how.append(similarity[:shown].tolist())
-            votes = np.array(votes, float)
-            yield pa.record_batch(
-                {
-                    "doc_id": batch["doc_id"],
-                    "vote": pa.array(votes),
-                    "score": pa.array(held.probability(votes), pa.float64()),
-                    "examples": pa.array(near, pa.list_(pa.int64())),
-                    "similarities": pa.array(how, pa.list_(pa.float64())),
-                }
-            )
-
-    schema = "doc_id long, vote double, score double, examples array<long>, similarities array<double>"
-    return rows_of(docs, id_col, text_col).mapInArrow(run, schema)
+                vectors = unit_vectors(counter(texts), len(texts), held.index.idf) if held.index else [()] * len(texts)
+                yield _scored(batch["doc_id"].slice(begun, TEXTS), vectors, held, k, shown)
+
+    return rows_of(docs, id_col, text_col).mapInArrow(run, _SCORES)
+
+
+def counted_scores(counted: DataFrame, model: ToxicityModel, k: int = NEIGHBOURS, shown: int = 3) -> DataFrame:
+    """``toxicity_scores`` of the documents whose terms ``fit`` has counted."""
+    shared = counted.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for batch in batches:
+            for begun in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(begun, TEXTS)
+                text = np.repeat(np.arange(part.num_rows), pc.list_value_length(part["terms"]).to_numpy())
+                term, times = (part[c].flatten().to_numpy() for c in ("terms", "times"))
+                vectors = unit_vectors((text, term.astype(np.int64), times), part.num_rows, held.index.idf)
+                yield _scored(part["doc_id"], vectors, held, k, shown)
+
+    return counted.where("not totals").select("doc_id", "terms", "times").mapInArrow(run, _SCORES)

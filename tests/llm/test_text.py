@@ -210,7 +210,7 @@ def test_classifiers_of_odd_rows(spark, odd, nothing):
             scores = quality.quality_scores(table_, model).collect()
             assert len(scores) == table_.count() and all(0 <= r.score <= 1 for r in scores)
             assert quality.keep_good(table_, model, 0.0).count() == table_.count()
-            model = toxicity.fit(table_, marks)
+            model, _ = toxicity.fit(table_, marks)
             scores = toxicity.toxicity_scores(table_, model).collect()
             assert len(scores) == table_.count() and all(0 <= r.score <= 1 for r in scores)
 
@@ -239,7 +239,10 @@ def test_rare_terms_bring_neighbours(spark):
     rows = [(i, t) for i, t in enumerate(texts)] + [(1000, "qzxw"), (1001, "nothing of these")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i < 200)) for i in range(400)], "doc_id long, toxic int")
-    got = {r.doc_id: r for r in toxicity.toxicity_scores(docs, toxicity.fit(docs, labels)).collect()}
+    model, counted = toxicity.fit(docs, labels)
+    got = {r.doc_id: r for r in toxicity.toxicity_scores(docs, model).collect()}
+    # the same from the counted terms
+    assert sorted(map(str, toxicity.counted_scores(counted, model).collect())) == sorted(map(str, got.values()))
     assert sorted(got[1000].examples) == [3, 150] and got[1000].vote == 1
     assert got[1001].examples == [] and got[1001].vote == 0
 
