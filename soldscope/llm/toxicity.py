@@ -319,7 +319,8 @@ def count_terms(docs: DataFrame, terms: dict[str, int], id_col: str = "doc_id",
         at = np.flatnonzero(met)
         yield batch_of(pa.array([None], pa.int64()), np.array([len(at) + 1]), np.append(at, -1), np.append(met[at], n), True)
 
-    return saved(rows_of(docs, id_col, text_col).mapInArrow(run, _COUNTED), "terms")
+    # long lists: small row groups keep little of them in a writer's memory
+    return saved(rows_of(docs, id_col, text_col).mapInArrow(run, _COUNTED), "terms", **{"parquet.block.size": str(16 << 20)})
 
 
 def document_frequencies(counted: DataFrame, terms: int) -> tuple[int, np.ndarray]:
