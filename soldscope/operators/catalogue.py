@@ -21,14 +21,27 @@ def _average() -> Column:
     return F.col("total_price").cast("double") / F.nullif(F.col("priced"), F.lit(0))
 
 
+def _count(df: DataFrame) -> Column:
+    """Number of rows, of a roll-up of counted prices the sum of ``n``."""
+    return F.sum("n") if "n" in df.columns else F.count("*")
+
+
 def price_metrics(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
-    """Count, average, minimum, maximum and sum of price in one partial-aggregated shuffle."""
+    """Count, average, minimum, maximum and sum of price in one partial-aggregated shuffle.
+
+    Takes rows or counted prices, as the two below do.
+    """
+    if "n" in df.columns:
+        total = F.sum(F.col("price") * F.col("n").cast("decimal(13,0)"))
+        priced = F.sum(F.when(F.col("price").isNotNull(), F.col("n")).otherwise(0))
+    else:
+        total, priced = F.sum("price"), F.count("price")
     out = df.groupBy(*keys).agg(
-        F.count("*").alias("item_count"),
-        F.count("price").alias("priced"),
+        _count(df).alias("item_count"),
+        priced.alias("priced"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
-        F.sum("price").cast(TOTAL).alias("total_price"),
+        total.cast(TOTAL).alias("total_price"),
         *extra,
     )
     return out.withColumn("avg_price", _average()).drop("priced")
@@ -42,7 +55,7 @@ def price_metrics_with_median(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     never a state in memory; the closing aggregation reuses the window's partitioning.
     """
     keys = list(keys)
-    per_price = df.groupBy(*keys, "price").agg(F.count("*").alias("n"))
+    per_price = df.groupBy(*keys, "price").agg(_count(df).alias("n"))
     priced = F.when(F.col("price").isNotNull(), F.col("n")).otherwise(0)
     group = Window.partitionBy(*keys)
     running = group.orderBy(F.col("price").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
@@ -83,32 +96,38 @@ def price_metrics_wide(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     tell which of them hold the middle ranks, and only the prices of those are put in order.
     """
     keys = list(keys)
-    per_price = df.groupBy(*keys, "price").agg(F.count("*").alias("n"))
     plain = F.col("price").cast("double")
-    classed = per_price.where("price is not null").withColumn(
+    # rows without a price are a class of their own, which no rank falls into
+    per_price = df.groupBy(*keys, "price").agg(_count(df).alias("n")).withColumn(
         "class", (F.signum(plain) * F.floor(F.log2(F.abs(plain) + 1) * 64)).cast("int")
     )
+    classes = per_price.groupBy(*keys, "class").agg(
+        F.sum("n").alias("item_count"),
+        F.sum(F.when(F.col("price").isNotNull(), F.col("n")).otherwise(0)).alias("held"),
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        F.sum(F.col("price") * F.col("n").cast("decimal(13,0)")).alias("total_price"),
+    )
     group = Window.partitionBy(*keys)
-    running = group.orderBy("class").rowsBetween(Window.unboundedPreceding, 0)
-    classes = classed.groupBy(*keys, "class").agg(F.sum("n").alias("held"))
-    classes = classes.select(*keys, "class", "held", F.sum("held").over(running).alias("upto"), F.sum("held").over(group).alias("of"))
+    running = group.orderBy(F.col("class").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = classes.select("*", F.sum("held").over(running).alias("upto"), F.sum("held").over(group).alias("of"))
     ranks = {"lower": F.floor((F.col("of") + 1) / 2), "upper": F.floor(F.col("of") / 2) + 1}
     before = F.col("upto") - F.col("held")
-    middle = classes.withColumns(ranks).where(
+    middle = ranked.withColumns(ranks).where(
         P.any_of((before < F.col(r)) & (F.col(r) <= F.col("upto")) for r in ranks)
     ).select(*[F.col(k).alias(f"_{k}") for k in (*keys, "class")], before.alias("before"), *ranks)
     same = P.all_of(F.col(k).eqNullSafe(F.col(f"_{k}")) for k in (*keys, "class"))
     within = Window.partitionBy(*keys, "class").orderBy("price").rowsBetween(Window.unboundedPreceding, 0)
-    placed = classed.join(middle, same).withColumn("upto", F.col("before") + F.sum("n").over(within))
+    placed = per_price.join(middle, same).withColumn("upto", F.col("before") + F.sum("n").over(within))
     at = lambda r: F.max(F.when((F.col("upto") - F.col("n") < F.col(r)) & (F.col(r) <= F.col("upto")), F.col("price")))
     medians = placed.groupBy(*keys).agg(((at("lower") + at("upper")) / 2).cast("double").alias("median_price"))
     medians = medians.withColumnsRenamed({k: f"_{k}" for k in keys})
-    totals = per_price.groupBy(*keys).agg(
-        F.sum("n").alias("item_count"),
-        F.sum(F.when(F.col("price").isNotNull(), F.col("n")).otherwise(0)).alias("priced"),
-        F.min("price").alias("min_price"),
-        F.max("price").alias("max_price"),
-        F.sum(F.col("price") * F.col("n").cast("decimal(13,0)")).cast(TOTAL).alias("total_price"),
+    totals = classes.groupBy(*keys).agg(
+        F.sum("item_count").alias("item_count"),
+        F.sum("held").alias("priced"),
+        F.min("min_price").alias("min_price"),
+        F.max("max_price").alias("max_price"),
+        F.sum("total_price").cast(TOTAL).alias("total_price"),
     )
     joined = totals.join(medians, P.all_of(F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys), "left")
     return joined.withColumn("avg_price", _average()).drop("priced", *[f"_{k}" for k in keys])

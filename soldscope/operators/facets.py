@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from soldscope.operators import predicates as P
 from soldscope.operators import projections as S
+from soldscope.operators.ordinal import numbered
+from soldscope.operators.ordinal import page as page_of
 from soldscope.params import Page, Search
+from soldscope.session import written
 
 TOP_PRODUCTS = 200
 TOP_CONDITIONS = 12
@@ -54,16 +57,45 @@ def _labels_at(edge: str) -> Column:
     return F.nullif(F.array_join(F.array_sort(labels), LABEL_SEPARATOR), F.lit(""))
 
 
+def _day_labels(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Figures per day and label, and per day."""
+    labelled = rows.where("snapshot_date is not null").withColumn("label", S.product_label())
+    per_label = rollup(labelled, "snapshot_date", "label")
+    return per_label, rollup(per_label, "snapshot_date")
+
+
+def edge_labels(rows: DataFrame) -> DataFrame:
+    """``(snapshot_date, edge, rank, label)``: every product at a day's lowest and highest price, in order.
+
+    The full set as rows: a day with very many products at one price is spread over tasks.
+    """
+    per_label, per_day = _day_labels(rows)
+    edges = per_day.select("snapshot_date", F.col("price_min").alias("low"), F.col("price_max").alias("high"))
+    met = per_label.where("label is not null").join(edges, "snapshot_date")
+    at = lambda edge, figure: met.where(F.col(figure) == F.col(edge)).select("snapshot_date", F.lit(edge).alias("edge"), "label")
+    both = written(at("low", "price_min").unionByName(at("high", "price_max")), "edges")
+    placed = numbered(both, [F.col(c).asc() for c in ("snapshot_date", "edge", "label")], "place")
+    first = placed.groupBy("snapshot_date", "edge").agg(F.min("place").alias("first"))
+    return placed.join(first, ["snapshot_date", "edge"]).select(
+        "snapshot_date", "edge", (F.col("place") - F.col("first") + 1).alias("rank"), "label"
+    )
+
+
+def edge_heads(labels: DataFrame, most: int) -> DataFrame:
+    """For display: the first ``most`` labels of each day and edge, joined, and how many there are."""
+    shown = F.array_sort(F.collect_list(F.when(F.col("rank") <= most, F.struct("rank", "label"))))
+    return labels.groupBy("snapshot_date", "edge").agg(
+        F.array_join(F.transform(shown, lambda x: x["label"]), LABEL_SEPARATOR).alias("labels"), F.max("rank").alias("label_count")
+    )
+
+
 def trend(rows: DataFrame) -> DataFrame:
     """Per day: figures and the sorted labels of the products at the day's lowest and highest price.
 
     Rows reduce to one per day and label first; the day's extremes then meet those labels by an
     equi-join on the day, so a day with very many rows is never gathered.
     """
-    per_label = rollup(
-        rows.where("snapshot_date is not null").withColumn("label", S.product_label()), "snapshot_date", "label"
-    )
-    per_day = rollup(per_label, "snapshot_date")
+    per_label, per_day = _day_labels(rows)
     edges = per_day.select(
         "snapshot_date", F.col("price_min").alias("low"), F.col("price_max").alias("high")
     )
@@ -196,24 +228,35 @@ def filter_options(sold: DataFrame, search: Search, *, collation: str | None = "
     return tokens.orderBy("attribute", key)
 
 
+def _newest_first() -> list[Column]:
+    """Order of the samples; the id alone may repeat, so the remaining columns settle it."""
+    return [
+        F.col("snapshot_date").desc_nulls_last(),
+        F.col("shop").asc(),
+        F.col("id").desc(),
+        F.col("price").desc(),
+        F.col("brand").asc_nulls_last(),
+        F.col("product_name").asc_nulls_last(),
+        F.col("condition").asc_nulls_last(),
+    ]
+
+
+def placed_samples(sold: DataFrame, search: Search) -> DataFrame:
+    """Shaped sample rows with their ``place`` in the order; written once, it serves every page of a request."""
+    return numbered(S.sample_rows(matching(sold, search)), _newest_first())
+
+
+def placed_sample_page(placed: DataFrame, number: int, size: int) -> DataFrame:
+    """Page ``number`` of placed samples; the total counts the same rows."""
+    total = placed.agg(F.count("*")).scalar()
+    return page_of(placed, "place", size, number).drop("place").withColumn("total", total)
+
+
 def sample_page(sold: DataFrame, search: Search, page: Page = Page()) -> DataFrame:
     """One page of shaped sample rows, newest first; the total counts the same rows.
 
-    The id alone may repeat, so the remaining columns settle the order.
+    A page near the front is the head of a sort; deep pages come from ``placed_samples``.
     """
     rows = S.sample_rows(matching(sold, search))
     total = rows.agg(F.count("*")).scalar()
-    return (
-        rows.orderBy(
-            F.col("snapshot_date").desc_nulls_last(),
-            "shop",
-            F.col("id").desc(),
-            F.col("price").desc(),
-            F.col("brand").asc_nulls_last(),
-            F.col("product_name").asc_nulls_last(),
-            F.col("condition").asc_nulls_last(),
-        )
-        .offset(page.offset)
-        .limit(page.size)
-        .withColumn("total", total)
-    )
+    return rows.orderBy(*_newest_first()).offset(page.offset).limit(page.size).withColumn("total", total)

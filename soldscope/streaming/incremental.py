@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from soldscope.plans.reformat import reconcile_brands, reformat
+from soldscope.session import written
 from soldscope.sources import landing
 from soldscope.sources.selection import rows_of, select_files
 from soldscope.sources.store import SnapshotStore
@@ -28,7 +29,8 @@ def load_batch(
     """Store one micro-batch date by date, then format the dates it brought."""
     if batch.isEmpty():
         return
-    raw = landing.records(landing.batch_cells(batch, fmt))
+    # written once: the files are parsed one time, whatever the steps below read
+    raw = written(landing.records(landing.batch_cells(batch, fmt)), "landed")
     files = raw.select("shop", "file_name", "snapshot_date").distinct()
     chosen = select_files(files, store.stored_dates(), skip_existing=skip_existing)
     rows = landing.prepare(rows_of(raw, chosen), usd_cny=usd_cny, keep_images=keep_images)
