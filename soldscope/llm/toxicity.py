@@ -326,10 +326,10 @@ def count_terms(docs: DataFrame, terms: dict[str, int], id_col: str = "doc_id",
 def document_frequencies(counted: DataFrame, terms: int) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with each of the numbered terms, over all documents."""
     pairs = counted.where("totals").select(F.explode(F.arrays_zip("terms", "times")).alias("p"))
-    rows = pairs.groupBy("p.terms").agg(F.sum("p.times").alias("n")).collect()  # the examples' terms + 1
+    # two columns of numbers, the examples' terms + 1 rows
+    summed = pairs.groupBy("p.terms").agg(F.sum("p.times").alias("n")).toArrow()
     out = np.zeros(terms + 1, int)  # the last one counts the documents
-    for r in rows:
-        out[r.terms] = r.n
+    out[summed["terms"].to_numpy()] = summed["n"].to_numpy()
     return int(out[-1]), out[:-1]
 
 
@@ -363,7 +363,10 @@ def fit(
     counted = count_terms(docs, terms)
     n, df = document_frequencies(counted, len(terms))
     idf = np.log((n + 1) / (df + 1))
-    vectors = unit_vectors(TermCounter(terms)([r.text for r in rows]), len(rows), idf)
+    counter, vectors = TermCounter(terms), []
+    for begun in range(0, len(rows), TEXTS):
+        texts = [r.text for r in rows[begun : begun + TEXTS]]
+        vectors += unit_vectors(counter(texts), len(texts), idf)
     order = like_beside_like(_widest_terms(vectors, len(terms)))
     rows, ids, vectors = ([held[i] for i in order] for held in (rows, ids, vectors))
     at, w = (np.concatenate(parts) for parts in zip(*vectors))
