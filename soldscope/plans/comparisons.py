@@ -108,6 +108,18 @@ def pairing_header(comparison: DataFrame) -> DataFrame:
     return comparison.select(*dates, "pairing_gap_days").distinct()
 
 
+def two_shop_header(sold: DataFrame, anchor: date, *, base: str = "F", other: str = "R") -> DataFrame:
+    """The header of ``compare_two`` from the other shop's dates alone: no group is made.
+
+    A paired date has rows of the other shop, so the comparison has rows exactly if there is one.
+    """
+    b, o = f"{base.lower()}_date", f"{other.lower()}_date"
+    dates = sold.where(F.col("shop") == other).select("snapshot_date")
+    found = nearest_date(dates, anchor).where("paired_date is not null")
+    gap = F.abs(F.datediff(F.col(o), F.col(b))).alias("pairing_gap_days")
+    return found.select(F.lit(anchor).cast("date").alias(b), F.col("paired_date").alias(o)).select(b, o, gap)
+
+
 def brand_summary(comparison: DataFrame, top: int | None = 15, *, base: str = "f", other: str = "r") -> DataFrame:
     """Per brand of a wide comparison: summed counts and the unweighted mean of group averages."""
     out = (

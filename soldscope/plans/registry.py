@@ -283,7 +283,7 @@ def shop_comparison(spark, sf_dir):
     FROM pair CROSS JOIN compared WHERE r_date IS NOT NULL""",
 )
 def _(spark, sf_dir):
-    return comparisons.pairing_header(_two(spark, sf_dir))
+    return comparisons.two_shop_header(_monthly(spark, sf_dir, "shop"), ANCHOR)
 
 
 @register(
