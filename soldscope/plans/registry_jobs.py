@@ -10,7 +10,7 @@ from soldscope.functions import condition
 from soldscope.operators import predicates, updates
 from soldscope.plans import named_sql
 from soldscope.plans.registry import ANCHOR, ORACLES, _monthly, register
-from soldscope.plans.testtables import SOLD_SQL, sold, table
+from soldscope.plans.testtables import SOLD_SQL, sold, spread, table
 from soldscope.sources import landing
 
 FILLERS = 66  # more cells than a narrow reader would keep
@@ -26,7 +26,7 @@ FILLERS = 66  # more cells than a narrow reader would keep
     CASE WHEN shop <> 'V' THEN 'https://x.com/' || p_partkey || '.png' END AS image_path FROM c""",
 )
 def _(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
+    part = spread(spark, sf_dir, "part")
     cell = lambda key, value: F.struct(F.lit(key).alias("key"), value.cast("string").alias("value"))
     price = F.format_number(F.col("p_retailprice").cast("decimal(18,2)"), 2)
     pairs = F.array(

@@ -155,11 +155,12 @@ def batch_cells(batch: DataFrame, fmt: str = "csv") -> DataFrame:
 
 def _field(header: Column) -> Column:
     """Column a header fills. Exact names win over the rule that any other price header means price."""
-    name = X.strip(header)
-    return (
-        F.when(F.lower(name) == ID_HEADER, "item_id")
-        .otherwise(F.coalesce(X.lookup(HEADERS, name), X.lookup(HEADERS, F.lower(name)), F.when(F.contains(name, F.lit(PRICE_WORD)), "price")))
-    )
+
+    def named(name: Column) -> Column:
+        known = F.coalesce(X.lookup(HEADERS, name), X.lookup(HEADERS, F.lower(name)), F.when(F.contains(name, F.lit(PRICE_WORD)), "price"))
+        return F.when(F.lower(name) == ID_HEADER, "item_id").otherwise(known)
+
+    return X.let(X.strip(header), named)
 
 
 def text_cell(value: Column) -> Column:
@@ -199,17 +200,23 @@ def old_data(df: DataFrame, shop: Column | str = "shop") -> Column:
 
 
 def records(cells: DataFrame) -> DataFrame:
-    """Typed rows with ``old_data``, still in raw wording; blank rows and rows without an id are dropped."""
-    fields = F.transform(
-        F.filter("pairs", lambda p: X.clean(p["key"]).isNotNull()),
-        lambda p: F.struct(_field(p["key"]).alias("field"), p["value"].alias("value")),
-    )
-    df = cells.select("shop", "file_name", fields.alias("fields"))
+    """Typed rows with ``old_data``, still in raw wording; blank rows and rows without an id are dropped.
+
+    Each header is named once, and cells that fill no column are left out before columns are looked up. A row
+    without an id gives no element, so no filter repeats that work in front of it.
+    """
+    named = F.transform("pairs", lambda p: F.struct(_field(p["key"]).alias("field"), p["value"].alias("value")))
+    fields = F.filter(named, lambda f: f["field"].isNotNull())
+
+    def value_of(held: Column, name: str) -> Column:
+        return F.try_element_at(F.filter(held, lambda f: f["field"] == name), F.lit(-1))["value"]
+
+    with_id = F.filter(F.array(fields), lambda held: text_cell(value_of(held, "item_id")).isNotNull())
+    df = cells.select("shop", "file_name", F.explode(with_id).alias("fields"))
     is_v = F.col("shop") == "V"
 
     def cell(name: str) -> Column:
-        last = F.get(F.filter("fields", lambda f: f["field"] == name), F.size(F.filter("fields", lambda f: f["field"] == name)) - 1)
-        value = last["value"]
+        value = value_of(F.col("fields"), name)
         if name in FR_ONLY:
             value = F.when(~is_v, value)
         if name in V_ONLY:
@@ -230,7 +237,7 @@ def records(cells: DataFrame) -> DataFrame:
         "file_name",
         snapshot_date("file_name").alias("snapshot_date"),
         *[(v.cast(kinds[c]) if c in kinds else v).alias(c) for c, v in out.items()],
-    ).where("item_id is not null")
+    )
     return typed.withColumn("old_data", old_data(typed)).drop("_raw_price")
 
 
