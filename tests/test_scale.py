@@ -1,7 +1,14 @@
 """How jobs spread and how often they work: what keeps their cost in proportion to the rows."""
 
+import os
+
+from pyspark.sql import functions as F
+
+from soldscope.plans import reformat as R
 from soldscope.plans.registry import QUERIES
+from soldscope.session import checkpoint_root
 from soldscope.sources import landing
+from soldscope.sources.store import SnapshotStore
 import soldscope.plans.registry_delivery  # noqa: F401
 import soldscope.plans.registry_fields  # noqa: F401
 import soldscope.plans.registry_jobs  # noqa: F401
@@ -33,3 +40,15 @@ def test_each_header_is_named_once(spark):
     rows = landing.records(cells)
     assert [(r.item_id, r.brand) for r in rows.collect()] == [("1", "B")]
     assert _optimized(rows).count(".key") == 1
+
+
+def _titles(spark):
+    rows = [("F", 1, "1", "Hermes", "Birkin 30 Noir"), ("V", 2, "2", "Hermes", "Kelly 28"), ("F", 3, "3", None, None)]
+    df = spark.createDataFrame(rows, "shop string, id long, item_id string, brand string, model string")
+    return df.withColumns({c: F.lit(None).cast("string") for c in ("condition", "color", "material", "year", "other", "old_data")})
+
+
+def test_titles_are_parsed_before_rows_are_formatted(spark):
+    done = R.format_rows(_titles(spark))
+    assert done.count() == 3
+    assert "Aggregate" not in _optimized(done)
