@@ -52,3 +52,14 @@ def test_titles_are_parsed_before_rows_are_formatted(spark):
     done = R.format_rows(_titles(spark))
     assert done.count() == 3
     assert "Aggregate" not in _optimized(done)
+
+
+def test_rewritten_rows_are_written_as_columns(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    rows = _titles(spark).withColumns({"snapshot_date": F.lit("2026-05-01").cast("date"), "color": F.lit("['Reds']")})
+    store.overwrite_dates(rows)
+    folder = checkpoint_root(spark)
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    assert [tuple(r) for r in R.repair_colors(store).collect()] == [("F", 2, 2)]
+    assert any(name.startswith("rewritten-") for name in set(os.listdir(folder)) - before)
+    assert sorted(r.color for r in store.read().collect()) == ["['Reds']", "red", "red"]
