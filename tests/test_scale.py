@@ -54,6 +54,22 @@ def test_titles_are_parsed_before_rows_are_formatted(spark):
     assert "Aggregate" not in _optimized(done)
 
 
+def test_refill_reads_entries_twice(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.overwrite_dates(_titles(spark).withColumn("snapshot_date", F.lit("2026-05-01").cast("date")))
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(table):
+        read.add(1)
+        return table
+
+    entries = R.preview(store.read()).withColumn("old_data", F.when(F.col("id") != 3, F.col("old_data")))
+    entries = entries.withColumn("table", F.udf(seen).asNondeterministic()("table"))
+    counts = {r.shop: tuple(r)[1:] for r in R.refill(store, entries).collect()}
+    assert counts == {"F": (1, 1, 1), "V": (1, 1, 0)}
+    assert read.value == 6
+
+
 def test_rewritten_rows_are_written_as_columns(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "store"))
     rows = _titles(spark).withColumns({"snapshot_date": F.lit("2026-05-01").cast("date"), "color": F.lit("['Reds']")})
