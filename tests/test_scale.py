@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from soldscope.plans import reformat as R
 from soldscope.plans.registry import QUERIES
-from soldscope.session import checkpoint_root
+from soldscope.schema import SHOPS
+from soldscope.session import checkpoint_root, written
 from soldscope.sources import landing
 from soldscope.sources.store import SnapshotStore
 import soldscope.plans.registry_delivery  # noqa: F401
@@ -70,6 +71,67 @@ def test_refill_reads_entries_twice(spark, tmp_path):
     assert read.value == 6
 
 
+def _shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_shuffles_of_a_write_go_with_it(spark, tmp_path):
+    rows = _titles(spark).withColumn("snapshot_date", F.lit("2026-05-01").cast("date"))
+    before = _shuffle_files(spark)
+    written(rows.repartition(3, "id"), "dealt")
+    SnapshotStore(spark, str(tmp_path / "store")).overwrite_dates(rows)
+    assert _shuffle_files(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def _refilled(spark, path):
+    store = SnapshotStore(spark, str(path))
+    day = F.when(F.col("id") % 4 > 0, F.concat(F.lit("2026-05-0"), (F.col("id") % 4).cast("string")))
+    rows = spark.range(1, 41).select(
+        F.element_at(F.array(*map(F.lit, SHOPS)), (F.col("id") % 3 + 1).cast("int")).alias("shop"),
+        "id",
+        F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("item_id"),
+        F.lit("Hermes").alias("brand"),
+        F.concat(F.lit("Birkin 30 Noir "), F.col("id").cast("string")).alias("model"),
+        day.cast("date").alias("snapshot_date"),
+    )
+    blank = F.lit(None).cast("string")
+    store.overwrite_dates(rows.withColumns({c: blank for c in ("condition", "color", "material", "year", "other", "old_data")}))
+    entries = R.preview(store.read())
+    # an entry that comes twice, one of no stored row and some without raw fields
+    entries = entries.unionByName(entries.where("id = 5")).unionByName(entries.where("id = 6").withColumn("id", F.lit(60).cast("long")))
+    entries = entries.withColumn("old_data", F.when(F.col("id") % 5 != 1, F.col("old_data")))
+    counts = sorted(tuple(r) for r in R.refill(store, entries).collect())
+    return counts, sorted(map(str, store.read().collect()))
+
+
+def test_refill_by_parts_gives_the_same_store(spark, tmp_path, monkeypatch):
+    whole = _refilled(spark, tmp_path / "whole")
+    assert [c[1:] for c in whole[0]] == [(11, 11, 3), (11, 11, 3), (12, 12, 2)]
+    writes = []
+    kept = SnapshotStore.overwrite_dates
+    monkeypatch.setattr(SnapshotStore, "overwrite_dates", lambda self, rows: (writes.append(1), kept(self, rows))[1])
+    monkeypatch.setattr(R, "SLICES", 3)
+    monkeypatch.setattr(R, "SLICE_BYTES", 1)
+    assert _refilled(spark, tmp_path / "parts") == whole
+    assert len(writes) == 4
+
+
+def test_refill_of_no_usable_entry_and_what_it_leaves(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "SLICE_BYTES", 1)
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.overwrite_dates(_titles(spark).withColumn("snapshot_date", F.lit("2026-05-01").cast("date")))
+    folder = checkpoint_root(spark)
+    left = lambda: {n for n in os.listdir(folder) if n.startswith("refill-")} if os.path.isdir(folder) else set()
+    before = left()
+    entries = R.preview(store.read()).withColumn("old_data", F.when(F.col("id") > 3, F.col("old_data")))
+    assert {tuple(r) for r in R.refill(store, entries).collect()} == {("F", 0, 0, 2), ("V", 0, 0, 1)}
+    assert R.refill(store, entries.where("id > 3")).collect() == []
+    assert store.read().where("brand = 'Hermes'").count() == 2 and left() == before
+
+
 def test_rewritten_rows_are_written_as_columns(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "store"))
     rows = _titles(spark).withColumns({"snapshot_date": F.lit("2026-05-01").cast("date"), "color": F.lit("['Reds']")})
